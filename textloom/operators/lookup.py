@@ -30,7 +30,8 @@ def lookup(left: DataFrame, table: DataFrame, key: str, weight: str, how: str =
     )
 
 
-def pick(df: DataFrame, ids: DataFrame, key: str, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def pick(df: DataFrame, ids: DataFrame, key: str, broadcast_rows: int = BROADCAST_ROWS,
+         how: str = "left_semi") -> DataFrame:
     """Rows of ``df`` whose key is in ``ids``.
 
     A short list of ids, its length checked, is broadcast so that the wide table
@@ -39,7 +40,12 @@ def pick(df: DataFrame, ids: DataFrame, key: str, broadcast_rows: int = BROADCAS
     ids = ids.select(key)
     if ids.count() <= broadcast_rows:
         ids = F.broadcast(ids)
-    return df.join(ids, key, "left_semi")
+    return df.join(ids, key, how)
+
+
+def leave_out(df: DataFrame, ids: DataFrame, key: str, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Rows of ``df`` whose key is not in ``ids``; otherwise like ``pick``."""
+    return pick(df, ids, key, broadcast_rows, "left_anti")
 
 
 def join_by_count(left: DataFrame, right: DataFrame, key: str, counts: DataFrame,
