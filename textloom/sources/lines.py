@@ -18,15 +18,19 @@ def trim_urls(df: DataFrame, url: str = "url") -> DataFrame:
     return df.withColumn(url, strip_space(F.col(url))).filter(F.col(url) != "")
 
 
-def read_urls(spark: SparkSession, path: str) -> DataFrame:
-    """``url_rank, url`` in file order, blank lines skipped.
+def number_lines(spark: SparkSession, path: str, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """Lines with their number in the file, from 0.
 
     Line numbers are a property of the file, not of a column, hence zipWithIndex:
     one extra counting pass, no shuffle.
     """
     lines = spark.read.text(path).rdd.map(lambda row: row[0]).zipWithIndex()
-    df = spark.createDataFrame(lines, "url string, url_rank long")
-    return trim_urls(df).select("url_rank", "url")
+    return spark.createDataFrame(lines, f"{text} string, {key} long").select(key, text)
+
+
+def read_urls(spark: SparkSession, path: str) -> DataFrame:
+    """``url_rank, url`` in file order, blank lines skipped."""
+    return trim_urls(number_lines(spark, path, "url", "url_rank"))
 
 
 def parse_labelled(df: DataFrame, text: str = "text") -> DataFrame:
