@@ -17,7 +17,11 @@ PHONE_MASK = "|||PHONE_NUMBER|||"
 IP_MASK = "|||IP_ADDRESS|||"
 
 _EDGE = rf"(?:(?<![{WORD}])(?=[{WORD}])|(?<=[{WORD}])(?![{WORD}]))"
-EMAIL = _EDGE + r"[a-zA-Z0-9._%+-]+@(?:[a-zA-Z0-9-]+\.)+[a-zA-Z]{2,}" + _EDGE
+# Dotted labels, none empty, then letters.  Written without a repeated group, which
+# java.util.regex would match by recursion, one level for a label.
+EMAIL = (
+    _EDGE + r"[a-zA-Z0-9._%+-]+@(?=[a-zA-Z0-9-])(?:(?!\.\.)[a-zA-Z0-9.-])*\.[a-zA-Z]{2,}" + _EDGE
+)
 _SEP = rf"[{SPACE}\-.]?"
 PHONE = (
     r"(?<!\p{Nd})(?:\+?\p{Nd}{1,3}" + _SEP + r")?(?:\(?\p{Nd}{2,4}\)?" + _SEP
@@ -27,8 +31,10 @@ _OCTET = r"(?:25[0-5]|2[0-4]\p{Nd}|1?\p{Nd}?\p{Nd})"
 IP = r"(?<!\p{Nd})" + r"\.".join([_OCTET] * 4) + r"(?!\p{Nd})"
 
 # --- document quality ------------------------------------------------------
+# The repeated group is possessive: it never has to give anything back, and so is
+# matched without recursion.
 WORD_TOKEN = (
-    r"\.\.\.|[\p{L}\p{N}_]+(?:[-.,'’][\p{L}\p{N}_]+)*"
+    r"\.\.\.|[\p{L}\p{N}_]+(?:[-.,'’][\p{L}\p{N}_]+)*+"
     rf"|[^{SPACE}\p{{L}}\p{{N}}_]"
 )
 MIN_WORDS, MAX_WORDS = 50, 100_000

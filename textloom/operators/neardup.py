@@ -46,10 +46,15 @@ ROWS_PER_TASK = 1_000_000
 def word_ngrams(c: Column, n: int = fixed.NGRAM) -> Column:
     """Distinct word n-grams; all words as one when there are fewer than n."""
     words = F.filter(F.split(collapse_space(c), " "), lambda w: w != "")
-    size = F.size(words)
-    starts = F.sequence(F.lit(1), F.greatest(size - n + 1, F.lit(1)))
-    grams = F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
-    return F.when(size == 0, F.array().cast("array<string>")).otherwise(F.array_distinct(grams))
+
+    def grams(w):
+        starts = F.sequence(F.lit(1), F.greatest(F.size(w) - n + 1, F.lit(1)))
+        every = F.transform(starts, lambda i: F.array_join(F.slice(w, i, n), " "))
+        return F.when(F.size(w) == 0, F.array().cast("array<string>")).otherwise(F.array_distinct(every))
+
+    # Going through a one-element array binds the words to a variable; named in the
+    # inner function directly, they would be split again for every n-gram.
+    return F.transform(F.array(words), grams)[0]
 
 
 def shingle_hash(shingle: Column) -> Column:
@@ -99,13 +104,13 @@ def minhash_native(c: Column, k: int = fixed.NUM_HASHES, n: int = fixed.NGRAM,
     The factor is split into halves of 16 bits so that no product leaves 64 bits.
     """
     p = fixed.HASH_PRIME
-    x = F.transform(word_ngrams(c, n), shingle_hash)
 
-    def lowest(a, b):
+    def lowest(x, a, b):
         hashed = F.transform(x, lambda v: ((v * (a >> 16) % p) * 65536 + v * (a & 65535) + b) % p)
         return F.coalesce(F.array_min(hashed), F.lit(EMPTY_HASH))
 
-    return F.array(*[lowest(a, b) for a, b in zip(*hash_family(k, seed))])
+    hashes = F.array(F.transform(word_ngrams(c, n), shingle_hash))
+    return F.transform(hashes, lambda x: F.array(*[lowest(x, a, b) for a, b in zip(*hash_family(k, seed))]))[0]
 
 
 def band_slices(signature: Column, bands: int = fixed.NUM_BANDS, k: int = fixed.NUM_HASHES) -> Column:
