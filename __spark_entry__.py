@@ -14,18 +14,19 @@ from textloom.functions import text as T
 from textloom.operators import bigram, bpe, chat, dataset, neardup, quality, safety
 from textloom.plans import clean as clean_plan
 from textloom.plans import collect
-from textloom.session import materialize, scratch_path
+from textloom.session import materialize, read_table, scratch_path
 from textloom.sources import lines, pages, tokens
 from textloom.streaming import jobs
 
 LENGTH, BATCH, MERGES, BUDGET, CHUNK = 512, 16, 24, 400, 250
 
 
-def _table(name: str):
-    return lambda spark, sf: spark.read.parquet(f"{sf}/{name}.parquet")
+def _table(name: str, key: str):
+    return lambda spark, sf: read_table(spark, f"{sf}/{name}.parquet", key)
 
 
-documents, labels, page_table, conversations = map(_table, ("documents", "labels", "pages", "conversations"))
+documents, labels = _table("documents", "doc_id"), _table("labels", "doc_id")
+page_table, conversations = _table("pages", "page_id"), _table("conversations", "conv_id")
 
 
 def _t():
@@ -37,7 +38,7 @@ def _normal(spark, sf):
 
 
 def _model(spark, sf):
-    return safety.nb_fit(_normal(spark, sf), labels(spark, sf))
+    return clean_plan.fit_gates(documents(spark, sf), labels(spark, sf))
 
 
 def _urls(spark, sf):

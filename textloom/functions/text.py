@@ -68,9 +68,13 @@ def fold_marks(c: Column) -> Column:
     spelled_out = _hangul_to_jamo(c)
     for one, many in longer:
         spelled_out = F.replace(spelled_out, F.lit(one), F.lit(many))
-    special = f"[{_HANGUL}{''.join(one for one, _ in longer)}]"
+    singles = "".join(one for one, _ in longer)
+    special = f"[{_HANGUL}{singles}]"
+    # Most rows are settled by the two range tests, which are cheap.
+    first_special = min(singles)
     return (
         F.when(~c.rlike(r"[^\x00-\x7f]"), c)
+        .when(~c.rlike(f"[{first_special}-\U0010ffff]"), simple(c))
         .when(c.rlike(special), simple(spelled_out))
         .otherwise(simple(c))
     )
@@ -82,11 +86,13 @@ def strip_space(c: Column) -> Column:
 
 
 def collapse_space(c: Column) -> Column:
-    return F.trim(F.regexp_replace(c, rf"[{SPACE}]+", " "))
+    """Runs of white space become one blank; blanks that already stand alone are not touched."""
+    return F.trim(F.regexp_replace(c, rf" [{SPACE}]+|[{SPACE}&&[^ ]][{SPACE}]*", " "))
 
 
 def strip_punctuation(c: Column) -> Column:
-    return F.regexp_replace(c, rf"[^{WORD}{SPACE}]+", "")
+    # Letters, digits and blanks of ASCII come first because the test stops there.
+    return F.regexp_replace(c, rf"[^a-zA-Z0-9 {WORD}{SPACE}]+", "")
 
 
 def normalize_text(c: Column) -> Column:

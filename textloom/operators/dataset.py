@@ -13,8 +13,9 @@ from textloom.operators.ranking import kth_shuffled, rank_ordered, rank_shuffled
 
 def byte_ids(c: Column) -> Column:
     """Ids of the base vocabulary: one token for each UTF-8 byte."""
-    digits = F.regexp_extract_all(F.hex(F.encode(c, "UTF-8")), F.lit(".."), F.lit(0))
-    return F.transform(digits, lambda h: F.conv(h, 16, 10).cast("int"))
+    # Latin-1 gives every byte a character of the same number.
+    chars = F.regexp_extract_all(F.decode(F.encode(c, "UTF-8"), "ISO-8859-1"), F.lit("(?s)."), F.lit(0))
+    return F.transform(chars, F.ascii)
 
 
 def split_sets(df: DataFrame, valid_share: float = fixed.VALID_SHARE, seed: int = 42,

@@ -73,26 +73,45 @@ def hash_family(k: int = fixed.NUM_HASHES, seed: int = fixed.HASH_SEED) -> tuple
 def minhash(c: Column, k: int = fixed.NUM_HASHES, n: int = fixed.NGRAM, seed: int = fixed.HASH_SEED) -> Column:
     """MinHash signature of the shingles of a text, as an Arrow kernel.
 
-    Factors and hashes are below 2**32 and 2**33, so the product and the sum fit
-    in an unsigned 64-bit number.  Only the text travels to Python, and only the
-    signature comes back.
+    Only the text travels to Python, and only the signature comes back.
     """
-    factors, offsets = (np.array(v, dtype=np.uint64)[:, None] for v in hash_family(k, seed))
-    prime = np.uint64(fixed.HASH_PRIME)
+    factors, offsets = (np.array(v, dtype=np.uint64) for v in hash_family(k, seed))
+    prime, low_half, half = np.uint64(fixed.HASH_PRIME), np.uint64(2**32 - 1), np.uint64(32)
+    over = np.uint64(fixed.HASH_PRIME - 2**32)
+    block = 256
 
-    def signature(text):
+    def lowest(x, v, h):
+        """Smallest (a x + b) mod p of each hash function for a block of x.
+
+        Factors and x are below 2**32, so the sum fits in 64 bits.  With p slightly
+        above 2**32, hi * 2**32 + lo is lo - over * hi modulo p, taken twice.
+        """
+        np.multiply(x[:, None], factors, out=v)
+        np.add(v, offsets, out=v)
+        np.right_shift(v, half, out=h)
+        np.bitwise_and(v, low_half, out=v)
+        np.add(v, prime * np.uint64(over + 1), out=v)
+        np.subtract(v, np.multiply(h, over, out=h), out=v)
+        np.right_shift(v, half, out=h)
+        np.bitwise_and(v, low_half, out=v)
+        np.subtract(v, np.multiply(h, over, out=h), out=v)
+        # A negative value has wrapped to a huge one; adding p brings it back.
+        return np.minimum(v, np.add(v, prime, out=h), out=v).min(axis=0).astype(np.int64)
+
+    def signature(text, v, h):
         words = text.split(" ") if text else []
         grams = {" ".join(words[i:i + n]) for i in range(max(len(words) - n + 1, 1))} if words else ()
         low = np.full(k, EMPTY_HASH, dtype=np.int64)
-        x = np.frombuffer(b"".join(md5(g.encode()).digest()[:4] for g in grams), dtype=">u4").astype(np.uint64)
-        for at in range(0, len(x), 512):
-            block = (factors * x[at:at + 512] + offsets) % prime
-            low = np.minimum(low, block.min(axis=1).astype(np.int64))
+        x = np.frombuffer(b"".join([md5(g.encode()).digest()[:4] for g in grams]), dtype=">u4").astype(np.uint64)
+        for at in range(0, len(x), block):
+            part = x[at:at + block]
+            low = np.minimum(low, lowest(part, v[:len(part)], h[:len(part)]))
         return low
 
     @F.pandas_udf("array<long>")
     def signatures(texts: pd.Series) -> pd.Series:
-        return texts.map(signature)
+        v, h = np.empty((block, k), np.uint64), np.empty((block, k), np.uint64)
+        return texts.map(lambda t: signature(t, v, h))
 
     return signatures(collapse_space(c))
 

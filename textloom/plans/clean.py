@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from textloom.fixed import GATE_SCORE
 from textloom.functions import text as T
 from textloom.functions.pii import mask_text
+from textloom.operators.lookup import pick
 from textloom.operators.neardup import dedup
 from textloom.operators.quality import judge_quality, keep_quality
 from textloom.operators.ranking import rank_ordered
-from textloom.operators.safety import NaiveBayes, gate_threshold, nb_score, score_harmful
+from textloom.operators.safety import NaiveBayes, gate_threshold, nb_fit, nb_score, score_harmful
 from textloom.session import materialize
 from textloom.sources.lines import number_lines, parse_labelled, write_lines
 
@@ -22,6 +23,11 @@ def normalized(df: DataFrame, text: str = "text", mask_first: bool = False) -> D
     return (mask_text(df, text) if mask_first else df).withColumn(text, T.normalize_text(F.col(text)))
 
 
+def fit_gates(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> NaiveBayes:
+    """Models of both gates, fit on the normalised text of the labelled documents only."""
+    return nb_fit(normalized(pick(docs.select(key, text), labels, key), text), labels, text=text, key=key)
+
+
 def clean_pages(df: DataFrame, model: NaiveBayes, text: str = "text", key: str = "doc_id",
                 mask_first: bool = False) -> DataFrame:
     """Documents that pass both gates and the quality rules, normalised and masked.

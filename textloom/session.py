@@ -67,3 +67,16 @@ def materialize(df: DataFrame, tag: str = "table") -> DataFrame:
     path = scratch_path(df.sparkSession, tag)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def read_table(spark: SparkSession, path: str, key: str | None = None) -> DataFrame:
+    """A parquet table, spread over the cores when its files give too few tasks.
+
+    A large table has more splits than there are cores and is read as it lies.
+    Only one too small for that is dealt out, by key, before row-wise work.
+    """
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key) if key else df.repartition(cores)
