@@ -12,6 +12,7 @@ from textloom import fixed
 from textloom.functions import html, pii
 from textloom.functions import text as T
 from textloom.operators import bigram, bpe, chat, dataset, neardup, quality, safety
+from textloom.operators.keep import keep
 from textloom.plans import clean as clean_plan
 from textloom.plans import collect
 from textloom.session import materialize, read_table, scratch_path
@@ -129,7 +130,7 @@ def q_decode_html(spark, sf):
 
 
 def q_flatten_min_length(spark, sf):
-    return documents(spark, sf).select("doc_id", T.flatten_lines(_t()).alias("text")).filter(T.long_enough(_t()))
+    return keep(documents(spark, sf).select("doc_id", T.flatten_lines(_t()).alias("text")), T.long_enough(_t()))
 
 
 def _each(fn):

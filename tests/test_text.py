@@ -123,3 +123,26 @@ def test_decode_html(spark):
     df = spark.createDataFrame([(i, bytearray(b)) for i, b in rows], "id long, b binary")
     got = [r.v for r in df.orderBy("id").select(html.decode_html(F.col("b")).alias("v")).collect()]
     assert got == ["<meta charset=utf-8>é�", "<meta charset='ISO-8859-1'>é", "plain �"]
+
+
+def test_quality_filter_computes_text_once(docs_of):
+    df = quality.keep_quality(docs_of(["x"]).withColumn("text", T.normalize_text(F.col("text"))))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lower(") == 1
+
+
+EMAIL_RE = re.compile(r"\b[a-zA-Z0-9._%+-]+@(?:[a-zA-Z0-9-]+\.)+[a-zA-Z]{2,}\b")
+
+
+def test_email_pattern_on_random_strings(column_of):
+    rnd = random.Random(9)
+    texts = ["".join(rnd.choice(["a", "b.c", "@", ".", "..", "com", "-", "1", "é", " ", "_", "x@y", "d.ee"])
+                     for _ in range(12)) for _ in range(1500)]
+    got = column_of(texts, pii.mask(F.col("text"), "email"))
+    assert got == [EMAIL_RE.sub("|||EMAIL_ADDRESS|||", t) for t in texts]
+
+
+def test_long_repetitions_do_not_overflow(column_of):
+    dotted = "x@" + "a." * 50_000 + "com"
+    assert column_of([dotted], pii.mask(F.col("text"), "email")) == ["|||EMAIL_ADDRESS|||"]
+    assert column_of(["a-" * 50_000 + "a"], F.size(quality.word_tokens(F.col("text")))) == [1]

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom import fixed
+from textloom.operators.keep import keep
 from textloom.operators.lookup import lookup
 from textloom.session import materialize
 
@@ -198,17 +199,19 @@ def train_bpe(df: DataFrame, vocab_size: int, specials: Sequence[str] = (fixed.E
         symbols = F.col("symbols")
         for left, right in merges:
             symbols = apply_merge(symbols, left, right)
+        return words.select(symbols.alias("symbols"), "n")
+
+    def written(words, merges):
         # A word of one symbol has no pairs left.
-        return words.select(symbols.alias("symbols"), "n").filter(F.contains("symbols", F.lit(" .")))
+        return materialize(keep(merged(words, merges), F.contains("symbols", F.lit(" ."))), "words")
 
-    words = materialize(merged(words, pending[:PENDING_MERGES]), "words")
-    pending = pending[PENDING_MERGES:]
+    words, pending = written(words, pending[:PENDING_MERGES]), pending[PENDING_MERGES:]
     while len(pending) > PENDING_MERGES:
-        words, pending = materialize(merged(words, pending[:PENDING_MERGES]), "words"), pending[PENDING_MERGES:]
+        words, pending = written(words, pending[:PENDING_MERGES]), pending[PENDING_MERGES:]
 
     while len(out.tokens) < vocab_size:
         if len(pending) > PENDING_MERGES:
-            words, pending = materialize(merged(words, pending), "words"), []
+            words, pending = written(words, pending), []
         rows = best_pairs(pair_counts(merged(words, pending)), top_pairs).collect()
         if not rows:
             break

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from textloom import fixed
 from textloom.functions.text import collapse_space
 from textloom.operators.components import connected_components
+from textloom.operators.keep import keep
 from textloom.operators.lookup import join_by_count, leave_out, pick
 from textloom.session import materialize
 
@@ -171,9 +172,12 @@ def candidate_pairs(bands: DataFrame, key: str = "doc_id", rows_per_task: int =
 
 def jaccard(a: Column, b: Column) -> Column:
     """Similarity of two sets given as arrays of distinct values; two empty sets are equal."""
-    common = F.size(F.array_intersect(a, b))
-    total = F.size(a) + F.size(b) - common
-    return F.when(total == 0, 1.0).otherwise(common / F.nullif(total, F.lit(0)))
+    def share(common):
+        total = F.size(a) + F.size(b) - common
+        return F.when(total == 0, 1.0).otherwise(common / F.nullif(total, F.lit(0)))
+
+    # The array binds the intersection, which is used twice.
+    return F.transform(F.array(F.size(F.array_intersect(a, b))), share)[0]
 
 
 def verify_pairs(pairs: DataFrame, docs: DataFrame, threshold: float = fixed.JACCARD,
@@ -198,7 +202,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, key: str, threshold: float, n:
         joined = join_by_count(joined, side, end, degree, rows_per_task)
     sets = joined.select("i", "j", word_ngrams(F.col("text_i"), n).alias("a"), word_ngrams(F.col("text_j"), n).alias("b"))
     scored = sets.select("i", "j", jaccard(F.col("a"), F.col("b")).alias("similarity"))
-    return scored.filter(F.col("similarity") >= threshold)
+    return keep(scored, F.col("similarity") >= threshold)
 
 
 # --- clusters ---------------------------------------------------------------------
