@@ -480,8 +480,10 @@ def q_stream_word_counts(spark, sf):
 
 
 def q_stream_collect(spark, sf):
+    # One file, hence one micro-batch: which rows arrive first is then known.
+    stream = jobs.stream_files(spark, sf, pattern="documents.parquet")
     out = scratch_path(spark, "stream-samples")
-    jobs.stream_collect(_stream(spark, sf, 3), lambda d: pii.mask_text(quality.keep_quality(d)), 100, out, scratch_path(spark, "state"))
+    jobs.stream_collect(stream, lambda d: pii.mask_text(quality.keep_quality(d)), 100, out, scratch_path(spark, "state"))
     return spark.read.parquet(out).select("doc_id", "text")
 
 
