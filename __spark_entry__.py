@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,14 @@ from textloom.session import materialize, read_table, scratch_path
 from textloom.sources import lines, pages, tokens
 from textloom.streaming import jobs
 
+# The operators for training data and their pipeline are there or not as a whole.
+_found = find_spec("textloom.llm")
+if _found and _found.origin and find_spec("corpus_pipeline"):
+    import corpus_pipeline
+    from textloom.llm import queries as llm
+else:
+    llm = None
+
 LENGTH, BATCH, MERGES, BUDGET, CHUNK = 512, 16, 24, 400, 250
 
 
@@ -502,6 +511,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ml_nsfw_score": _ml("nsfw"),
         "ml_toxic_score": _ml("toxic"),
     }
+    if llm:
+        out |= llm.queries() | {"pipeline": corpus_pipeline.run}
     return out
 
 
@@ -518,7 +529,7 @@ def oracle_sql() -> dict[str, str]:
     trained = O.training(MERGES)
     vocab = O.vocabulary(MERGES, fixed.END_OF_TEXT)
     coded = [*trained, vocab, O.encoded(MERGES)]
-    return {
+    out = {
         "read_urls": "SELECT page_id AS url_rank, url FROM pages WHERE trim(url) <> ''",
         "fetch_pages": "SELECT page_id AS url_rank, url, md5(html) AS page FROM pages",
         "read_labelled_lines": q(f"l AS ({labelled})", f"SELECT label, regexp_replace(raw, '[{O.S}]+$', '') AS text FROM l"),
@@ -613,3 +624,4 @@ def oracle_sql() -> dict[str, str]:
         "stream_word_counts": q(O.WORDS, "SELECT word, n FROM word_counts"),
         "stream_collect": q(O.quality("documents"), f"SELECT doc_id, {O.mask_all('text')} AS text FROM judged WHERE drop_reason IS NULL ORDER BY doc_id LIMIT 100"),
     }
+    return out | (llm.oracle_sql() if llm else {})
