@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe_rounds, cascade, chat_states, packing, pu_toxicity, secret_index, simhash_grid
+from textloom.llm import bpe_rounds, cascade, chat_states, multiprobe, packing, pu_toxicity, secret_index, simhash_grid
 
 # Documents whose CRC-32 has this remainder are held out from learning.
 HELD_OUT = 2
@@ -35,6 +35,10 @@ def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", predicted.alias("predicted"))
 
 
+def op3_multiprobe(spark: SparkSession, sf: str) -> DataFrame:
+    return multiprobe.search(_table(spark, sf, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0)
+
+
 def op4_simhash(spark: SparkSession, sf: str) -> DataFrame:
     out = simhash_grid.classes(documents(spark, sf))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -44,10 +48,14 @@ def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return cascade.judge(documents(spark, sf))
 
 
+def _of_kind(kind: str) -> F.Column:
+    return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+
 def op6_secret_scans(spark: SparkSession, sf: str) -> DataFrame:
     found = secret_index.find(documents(spark, sf))
     base = F.filter("spans", lambda s: s["kind_no"] < len(secret_index.BASE))
-    counts = [F.size(F.filter("spans", lambda s, k=r.kind: s["kind"] == k)).cast("long").alias(f"n_{r.kind}") for r in secret_index.BASE]
+    counts = [_of_kind(r.kind).alias(f"n_{r.kind}") for r in secret_index.BASE]
     return found.select("doc_id", *counts, F.sha2(secret_index.listed(base).cast("binary"), 256).alias("base_sha256"),
                         secret_index.listed(F.col("spans")).alias("spans"))
 

@@ -179,6 +179,12 @@ def _quick(rule: Rule) -> str:
     return f"[0-9a-f]{{{rule.least},}}" if rule.kind == "hex" else rule.pattern
 
 
+def _named(rule: Rule, number: int) -> Column:
+    spans = pattern_spans(F.col("text"), rule.pattern, rule.group, rule.least)
+    return F.transform(spans, lambda s: F.struct(
+        s["start"].alias("start"), F.lit(number).alias("kind_no"), s["stop"].alias("stop"), F.lit(rule.kind).alias("kind")))
+
+
 def find(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs`` with ``spans``: start, stop (exclusive, in code points) and kind of all secrets, by start and rule.
 
@@ -193,9 +199,7 @@ def find(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     kinds = []
     for bit, rule in enumerate(rules):
         asked = (bits.bitwiseAND(F.lit(1 << bit)) != 0) & F.col("text").rlike(_quick(rule))
-        spans = F.transform(pattern_spans(F.col("text"), rule.pattern, rule.group, rule.least), lambda s, n=bit, k=rule.kind: F.struct(
-            s["start"].alias("start"), F.lit(n).alias("kind_no"), s["stop"].alias("stop"), F.lit(k).alias("kind")))
-        kinds.append(F.when(asked, spans).otherwise(F.expr(f"CAST(array() AS {SPAN})")))
+        kinds.append(F.when(asked, _named(rule, bit)).otherwise(F.expr(f"CAST(array() AS {SPAN})")))
     return joined.withColumn("spans", F.array_sort(F.flatten(F.array(*kinds)))).drop("__id", "rules")
 
 
