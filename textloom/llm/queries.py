@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe_rounds, cascade, chat_states, multiprobe, packing, pu_toxicity, secret_index, simhash_grid
+from textloom.llm import bpe_rounds, cascade, chat_states, multiprobe, packing, pu_toxicity, secret_index, simhash_grid, suffix_blocks
 
 # Documents whose CRC-32 has this remainder are held out from learning.
 HELD_OUT = 2
@@ -60,6 +60,10 @@ def op6_secret_scans(spark: SparkSession, sf: str) -> DataFrame:
                         secret_index.listed(F.col("spans")).alias("spans"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix_blocks.digests(documents(spark, sf))
+
+
 def op8_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(documents(spark, sf), public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
 
