@@ -6,13 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import packing, pu_toxicity, secret_index, simhash_grid
+from textloom.llm import packing, pu_toxicity, secret_index, simhash_grid, suffix_blocks
 from textloom.llm.queries import TOXIC_AT, held_out
 from textloom.session import materialize
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def _counted(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below the threshold; rows without text are scored as empty ones."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(~held_out())
@@ -25,10 +29,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return simhash_grid.representatives(docs.select(*COLUMNS))
 
 
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the byte strings that also start earlier."""
+    return _counted(suffix_blocks.remove(docs.select(*COLUMNS)))
+
+
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with secrets masked."""
-    clean = secret_index.redact(docs.select(*COLUMNS))
-    return clean.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+    return _counted(secret_index.redact(docs.select(*COLUMNS)))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,6 +47,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("toxicity", toxicity),
     ("simhash near-dedup", near_duplicates),
+    ("suffix-array dedup", repeated_passages),
     ("secret scans", secrets),
     ("packing", pack),
 ]
