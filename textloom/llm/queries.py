@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe_rounds, cascade, chat_states, multiprobe, packing, pu_toxicity, secret_index, simhash_grid, suffix_blocks
+from textloom.llm import bpe_rounds, cascade, chat_states, multiprobe, packing, pu_toxicity, secret_index, simhash_grid, suffix_blocks, token_trees
 
 # Documents whose CRC-32 has this remainder are held out from learning.
 HELD_OUT = 2
@@ -27,6 +27,25 @@ def held_out() -> F.Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == HELD_OUT
 
 
+# Personal data and shouting are edited: pattern, what is put in its place.
+EDITED = ((r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+\.[A-Za-z0-9.-]+", "<EMAIL>"), (r"[0-9][0-9 .()-]{5,}[0-9]", "<NUMBER>"),
+          (r"[!?]{2,}", "!"), (r"[ \t]{2,}", " "))
+
+
+def op1_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    kinds = []
+    for pattern, text in EDITED:
+        spans = secret_index.pattern_spans(F.col("text"), pattern)
+        kinds.append(F.when(F.col("text").rlike(pattern), _replaced(spans, text)))
+    none = F.expr(f"CAST(array() AS {token_trees.EDITS})")
+    edits = F.flatten(F.array(*[F.coalesce(k.cast(token_trees.EDITS), none) for k in kinds]))
+    return token_trees.count_edited(documents(spark, sf), edits, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def _replaced(spans: F.Column, text: str) -> F.Column:
+    return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), F.lit(text).alias("text")))
+
+
 def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf)
     labels = _table(spark, sf, "labels").filter(~held_out())
