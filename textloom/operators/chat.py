@@ -5,16 +5,19 @@ Turns stay rows: a conversation may be longer than one task should hold.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterator, Sequence
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom import fixed
 from textloom.functions.text import strip_space
-from textloom.operators.lookup import join_by_count
+from textloom.operators.lookup import join_by_count, pick
 from textloom.session import materialize
 
 CHUNK_TURNS = 1024
-MAX_ROUNDS = 1000
 
 
 def filter_turns(turns: DataFrame, rows_per_task: int = 1_000_000) -> DataFrame:
@@ -66,38 +69,67 @@ def context_budget(pieces: DataFrame, budget: int, tokens: str = "tokens", chunk
     """``conv_id, turn, held, cleared`` for rendered turns with a token count.
 
     ``held`` counts the tokens of the context with this turn.  Clearing depends on
-    all turns before, so a conversation is a chain; it is cut into chunks of at most
-    ``chunk_turns`` turn numbers, each folded on its own from an empty start.  A
-    chunk whose start was wrong is folded again with what the chunk before it
-    leaves over, until nothing changes.  A clear forgets the past, so starts are
-    soon right, and conversations of one chunk, the usual case, take one pass.
+    all turns before, so a conversation is a chain.  It is cut into chunks of at most
+    ``chunk_turns`` turn numbers.  What a chunk leaves over is a step function of
+    what it starts with; the functions of a conversation are applied one after the
+    other, one row for a chunk, and each chunk is folded once with its right start.
     """
     chunks = pieces.groupBy("conv_id", F.floor(F.col("turn") / chunk_turns).alias("chunk")).agg(
         F.array_sort(F.collect_list(F.struct(
             F.col("turn").cast("long").alias("turn"), F.col(tokens).cast("long").alias("tokens"),
             (F.col("role") == "assistant").alias("reply")))).alias("turns"))
-    folded = materialize(
-        chunks.withColumn("start", F.lit(0).cast("long"))
-        .withColumn("fold", _fold(F.col("turns"), F.col("start"), budget)), "folded")
-    if not folded.groupBy("conv_id").count().filter("count > 1").isEmpty():
-        folded = _settle(folded, budget)
+    chunks = materialize(chunks, "chunks")
+    several = chunks.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    starts = _starts(pick(chunks, several, "conv_id"), budget)
+    started = chunks.join(starts, ["conv_id", "chunk"], "left")
+    folded = started.select("conv_id", _fold(F.col("turns"), F.coalesce("start", F.lit(0)), budget).alias("fold"))
     return folded.select("conv_id", F.inline("fold.rows"))
 
 
-def _settle(folded: DataFrame, budget: int) -> DataFrame:
-    """Refold chunks until each starts with what its predecessor holds."""
-    # Rows of this window are chunks, not turns, and carry no arrays.
-    order = Window.partitionBy("conv_id").orderBy("chunk")
-    before = materialize(
-        folded.select("conv_id", "chunk", F.lag("chunk").over(order).alias("before")).filter("before is not null"),
-        "order")
-    for _ in range(MAX_ROUNDS):
-        ends = folded.select("conv_id", F.col("chunk").alias("before"), F.col("fold.held").alias("due"))
-        due = folded.join(before.join(ends, ["conv_id", "before"]).drop("before"), ["conv_id", "chunk"], "left")
-        wrong = F.col("start") != F.coalesce("due", F.lit(0))
-        if due.filter(wrong).isEmpty():
-            return folded
-        refolded = due.filter(wrong).withColumn("start", F.col("due")).withColumn(
-            "fold", _fold(F.col("turns"), F.col("start"), budget))
-        folded = materialize(due.filter(~wrong).unionByName(refolded).drop("due"), "folded")
-    raise RuntimeError(f"context budget did not settle in {MAX_ROUNDS} rounds")
+def leftover_steps(tokens: Sequence[int], replies: Sequence[bool], budget: int) -> tuple[int, list[int], list[int]]:
+    """What turns leave over: all their tokens more than they start with, unless a reply clears.
+
+    Replies clear from a start of ``least`` on, the first of them first, and then
+    ``left`` tokens remain, whatever the start was.
+    """
+    total, at = 0, []
+    for n, reply in zip(tokens, replies):
+        total += n
+        if reply:
+            at.append(total)
+    left = [0] * len(at)
+    for k in reversed(range(len(at))):
+        following = bisect_right(at, at[k] + budget, k + 1)
+        left[k] = left[following] if following < len(at) else total - at[k]
+    return total, [budget - n + 1 for n in at], left
+
+
+def _starts(chunks: DataFrame, budget: int) -> DataFrame:
+    """``conv_id, chunk, start``: the tokens held before each chunk."""
+    def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [leftover_steps(t, r, budget) for t, r in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            longs = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array([r[0] for r in rows], pa.int64()),
+                 pa.array([r[1] for r in rows], longs), pa.array([r[2] for r in rows], longs)],
+                ["conv_id", "chunk", "total", "least", "left"])
+
+    def chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        conv, held = None, 0
+        for batch in batches:
+            out = []
+            for i, total, least, left in zip(*(batch.column(k).to_pylist() for k in (0, 2, 3, 4))):
+                held = held if i == conv else 0
+                conv = i
+                out.append(held)
+                # The first reply that clears: limits fall from reply to reply.
+                k = bisect_left(least, True, key=lambda n: n <= held)
+                held = left[k] if k < len(least) else held + total
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.int64())], ["conv_id", "chunk", "start"])
+
+    key = "conv_id long, chunk long"
+    of_turns = chunks.select("conv_id", "chunk", F.transform("turns", lambda t: t["tokens"]).alias("tokens"),
+                             F.transform("turns", lambda t: t["reply"]).alias("replies"))
+    found = of_turns.mapInArrow(steps, f"{key}, total long, least array<long>, left array<long>")
+    return found.repartition("conv_id").sortWithinPartitions("conv_id", "chunk").mapInArrow(chained, f"{key}, start long")

@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 from textloom.operators.lookup import join_by_count
 from textloom.session import materialize
 
-MAX_ROUNDS = 100
-
 
 def _star(edges: DataFrame, rows_per_task: int) -> DataFrame:
     """Point the neighbours of each ``u``, and ``u``, at the smallest of them all.
@@ -26,8 +24,6 @@ def _star(edges: DataFrame, rows_per_task: int) -> DataFrame:
     """
     low = edges.groupBy("u").agg(F.min("v").alias("low"), F.count(F.lit(1)).alias("n"))
     low = low.withColumn("low", F.least("low", "u"))
-    if edges.count() <= rows_per_task:
-        return edges.join(low.select("u", "low"), "u")
     return join_by_count(edges, low.select("u", "low"), "u", low.select("u", "n"), rows_per_task)
 
 
@@ -38,7 +34,7 @@ def connected_components(edges: DataFrame, a: str = "i", b: str = "j",
     edges = materialize(
         edges.filter(F.col(a) != F.col(b))
         .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
-    for _ in range(MAX_ROUNDS):
+    while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = materialize(
             _star(both, rows_per_task).filter(F.col("v") > F.col("u"))
@@ -55,4 +51,3 @@ def connected_components(edges: DataFrame, a: str = "i", b: str = "j",
             if edges.select("u").join(parents, "u", "left_semi").isEmpty():
                 roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
                 return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
-    raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
