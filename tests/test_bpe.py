@@ -59,10 +59,9 @@ def test_specials(column_of):
         ["p", "<|a|>", "b", " q", "<|a|>"], ["x.y", "xzy"], ["<|a|>"], ["plain"]]
 
 
-def test_word_counts_cap(docs_of):
+def test_word_counts(docs_of):
     df = docs_of(["a<s>b", "a a", "zz"])
     assert {r.word: r.n for r in bpe.word_counts(df, ["<s>"]).collect()} == {"a": 2, "b": 1, " a": 1, "zz": 1}
-    assert {r.word: r.n for r in bpe.word_counts(df, ["<s>"], max_pieces=1).collect()} == {"a": 1, "b": 1}
 
 
 GOLDEN = ["low low lower<|endoftext|>newest newest\n", "widest aaa\n"]
@@ -156,12 +155,11 @@ def plain_encode(text, model):
 TEXTS = ["low lower newest<|endoftext|>\n", "", "  ", "widesté 中 aaa\x00", "<|endoftext|><|endoftext|>", "<|endof"]
 
 
-@pytest.mark.parametrize("limits", [{}, {"broadcast_rows": 0, "hot_keys": 3}])
-def test_encode_decode(docs_of, monkeypatch, limits):
+@pytest.mark.parametrize("memo_words", [1, 500_000])
+def test_encode_decode(docs_of, monkeypatch, memo_words):
     model = bpe.train_bpe(docs_of(GOLDEN), 265, [fixed.END_OF_TEXT])
-    if limits:
-        plain = bpe.lookup
-        monkeypatch.setattr(bpe, "lookup", lambda *a, **k: plain(*a, **k, **limits))
+    monkeypatch.setattr(bpe, "MEMO_WORDS", memo_words)
+    assert "Exchange" not in bpe.encode(docs_of(TEXTS), model)._jdf.queryExecution().executedPlan().toString()
     coded = bpe.encode(docs_of(TEXTS), model).orderBy("doc_id")
     rows = coded.select("*", bpe.decode(F.col("input_ids"), model).alias("text")).collect()
     assert [r.input_ids for r in rows] == [plain_encode(t, model) for t in TEXTS]
@@ -179,11 +177,6 @@ def test_decode_replaces_and_raises(spark):
         spark.createDataFrame([([256],)], "ids array<int>").select(bpe.decode(F.col("ids"), model)).collect()
 
 
-def test_encode_shuffles_text_once(docs_of):
-    model = bpe.Tokenizer(docs_of([""]).sparkSession)
-    plan = bpe.encode(docs_of(["a b", "c"]), model)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1
-
 
 def test_model_round_trip(spark, docs_of, tmp_path):
     model = bpe.train_bpe(docs_of(GOLDEN), 262, [fixed.END_OF_TEXT])

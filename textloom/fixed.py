@@ -64,7 +64,6 @@ PRETOKEN = (
 )
 BYTE_TOKENS = 256
 END_OF_TEXT = "<|endoftext|>"
-MAX_TRAIN_PIECES = 1_000_000
 
 # --- training sets, evaluation, conversations -------------------------------
 CONTEXT_LENGTH = 512

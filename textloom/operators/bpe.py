@@ -19,13 +19,14 @@ from pyspark.sql import functions as F
 
 from textloom import fixed
 from textloom.operators.keep import keep
-from textloom.operators.lookup import lookup
 from textloom.session import materialize
 
 # Pairs looked at in one training round, and merges kept as an expression before
 # the words are written out again.
 TOP_PAIRS = 4096
 PENDING_MERGES = 48
+# Words whose ids a worker remembers.
+MEMO_WORDS = 500_000
 
 
 @dataclass
@@ -46,9 +47,6 @@ class Tokenizer:
         rows = [(rank, bytearray(a), bytearray(b)) for (a, b), rank in self.merges.items()]
         return self.spark.createDataFrame(rows, "rank int, left binary, right binary")
 
-    def special_table(self) -> DataFrame:
-        return self.spark.createDataFrame(list(self.specials.items()), "token string, id int")
-
     def register_specials(self, specials: Sequence[str]) -> None:
         """Give new special tokens the next free ids, in list order."""
         for token in specials:
@@ -57,7 +55,7 @@ class Tokenizer:
                 self.tokens[self.specials[token]] = token.encode()
 
     def next_id(self) -> int:
-        return max(self.tokens) + 1 if len(self.tokens) > fixed.BYTE_TOKENS else fixed.BYTE_TOKENS
+        return max(self.tokens) + 1
 
     def next_rank(self) -> int:
         return max(self.merges.values(), default=-1) + 1
@@ -92,22 +90,10 @@ def words_of(c: Column, specials: Sequence[str] = ()) -> Column:
     return F.when(has_special, F.flatten(words)).otherwise(pretokenize(c))
 
 
-def word_counts(df: DataFrame, specials: Sequence[str] = (), max_pieces: int | None = None,
-                text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``word, n`` over all pieces, or over the first ``max_pieces + 1`` of them.
-
-    The cap counts pieces in (key, position) order, one more than it says.
-    """
-    pieces = split_specials(F.col(text), specials)
-    if max_pieces is None:
-        piece = df.select(F.explode(pieces).alias("piece"))
-    else:
-        piece = (
-            df.select(key, F.posexplode(pieces).alias("pos", "piece"))
-            .orderBy(key, "pos").limit(max_pieces + 1).select("piece")
-        )
+def word_counts(df: DataFrame, specials: Sequence[str] = (), text: str = "text") -> DataFrame:
+    """``word, n`` over all pieces."""
     return (
-        piece.select(F.explode(pretokenize(F.col("piece"))).alias("word"))
+        df.select(F.explode(split_specials(F.col(text), specials)).alias("piece")).select(F.explode(pretokenize(F.col("piece"))).alias("word"))
         .groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     )
 
@@ -172,8 +158,7 @@ def independent_merges(ranked: list[tuple[tuple[bytes, bytes], int]], complete:
 
 
 def train_bpe(df: DataFrame, vocab_size: int, specials: Sequence[str] = (fixed.END_OF_TEXT,),
-              model: Tokenizer | None = None, max_pieces: int | None = None,
-              text: str = "text", key: str = "doc_id", replay: bool = True,
+              model: Tokenizer | None = None, text: str = "text", replay: bool = True,
               top_pairs: int = TOP_PAIRS) -> Tokenizer:
     """Train to ``vocab_size`` entries, or go on from ``model``.
 
@@ -190,7 +175,7 @@ def train_bpe(df: DataFrame, vocab_size: int, specials: Sequence[str] = (fixed.E
     if model is not None:
         out = Tokenizer(df.sparkSession, dict(model.tokens), dict(model.merges), dict(model.specials))
     out.register_specials(specials)
-    counted = word_counts(df, specials, max_pieces, text, key)
+    counted = word_counts(df, specials, text)
     pending = sorted(out.merges, key=out.merges.get) if replay else []
     words = counted.select(to_symbols(F.col("word")).alias("symbols"), "n")
     known = set(out.tokens.values())
@@ -228,7 +213,7 @@ def train_bpe(df: DataFrame, vocab_size: int, specials: Sequence[str] = (fixed.E
 # --- encoding and decoding --------------------------------------------------
 
 def _encode_words(model: Tokenizer):
-    """Arrow function: ids of one word, lowest-ranked merge first."""
+    """Arrow function: ids of a list of words, lowest-ranked merge first; a worker remembers words."""
     merges, specials = dict(model.merges), dict(model.specials)
     ids = {token: i for i, token in model.tokens.items()}
     never = len(merges) + max(merges.values(), default=0) + 1
@@ -246,31 +231,34 @@ def _encode_words(model: Tokenizer):
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return [ids[p] for p in parts]
 
+    memo: dict[str, list[int]] = {}
+
+    def ids_of(words) -> list[int]:
+        out: list[int] = []
+        for w in () if words is None else words:
+            found = memo.get(w)
+            if found is None:
+                if len(memo) >= MEMO_WORDS:
+                    memo.clear()
+                found = memo[w] = encode(w)
+            out += found
+        return out
+
     @F.pandas_udf("array<int>")
-    def encode_words(words: pd.Series) -> pd.Series:
-        return words.map(encode)
+    def encode_words(rows: pd.Series) -> pd.Series:
+        return rows.map(ids_of)
 
     return encode_words
 
 
 def encode(df: DataFrame, model: Tokenizer, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``key, input_ids``.
+    """``key, input_ids``; a null text has no ids.
 
-    Every distinct word is encoded once.  The ids are joined back by word, with
-    frequent words broadcast so that no task receives all copies of one, and put
-    in order within the document.  Text is partitioned by key before it is taken
-    apart, so putting it together needs no second shuffle.
+    Row by row, without a shuffle: the vocabulary bounds the merge table that
+    every task gets.
     """
     words = words_of(F.col(text), tuple(model.specials))
-    docs = df.select(key, text)
-    table = materialize(
-        docs.select(F.explode(words).alias("word"))
-        .groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("ids", _encode_words(model)(F.col("word"))), "word-ids")
-    placed = docs.repartition(key).select(key, F.posexplode_outer(words).alias("pos", "word"))
-    found = lookup(placed, table, "word", "n", how="left")
-    ids = F.array_sort(F.collect_list(F.when(F.col("word").isNotNull(), F.struct("pos", "ids"))))
-    return found.groupBy(key).agg(F.flatten(F.transform(ids, lambda e: e["ids"])).alias("input_ids"))
+    return df.select(key, _encode_words(model)(words).alias("input_ids"))
 
 
 def token_hex(ids: Column, model: Tokenizer) -> Column:
