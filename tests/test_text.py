@@ -125,6 +125,25 @@ def test_decode_html(spark):
     assert got == ["<meta charset=utf-8>é�", "<meta charset='ISO-8859-1'>é", "plain �"]
 
 
+def test_entities(column_of):
+    got = column_of(["&#0000000065;&#x000041;", "&#99999999999;&#x110000;&#xd800;", "&eacute;&Alpha;&hearts;&nosuch;&", "&amp;#65; &amp;amp;"],
+                    html.decode_entities(F.col("text")))
+    assert got == ["AA", "\ufffd\ufffd\ufffd", "éΑ♥&nosuch;&", "&#65; &amp;"]
+
+
+def test_declared_charsets(spark):
+    words = {"windows-1252": "“quoted” – €5", "gb2312": "中文網", "shift_jis": "日本語①", "windows-1251": "Привет", "koi8-r": "Привет",
+             "big5": "繁體", "euc-kr": "한국어", "iso-8859-1": "café “x”", "utf-8": "é中"}
+    codec = {"gb2312": "gb18030", "shift_jis": "cp932", "iso-8859-1": "cp1252"}
+    rows = [(i, bytearray(f"<meta charset='{c}'>{w}".encode(codec.get(c, c)))) for i, (c, w) in enumerate(words.items())]
+    rows += [(20, bytearray(f"<!-- {'x' * 5000} charset=utf-8 --><META http-equiv=a content='text/html; charset=latin1'>café".encode("latin-1"))),
+             (21, bytearray(b"<meta charset=nosuch>\xc3\xa9")), (22, None), (23, bytearray(b"")), (24, bytearray(b"<meta charset=base64>\xc3\xa9"))]
+    df = spark.createDataFrame(rows, "id int, b binary")
+    got = {r.id: r.v for r in df.select("id", html.decode_html(F.col("b")).alias("v")).collect()}
+    assert all(got[i].endswith(f">{w}") for i, w in enumerate(words.values()))
+    assert got[20].endswith(">café") and got[21].endswith(">é") and got[22] is None and got[23] == "" and got[24].endswith(">é")
+
+
 def test_quality_filter_computes_text_once(docs_of):
     df = quality.keep_quality(docs_of(["x"]).withColumn("text", T.normalize_text(F.col("text"))))
     plan = df._jdf.queryExecution().executedPlan().toString()
