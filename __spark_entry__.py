@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from importlib.util import find_spec
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 import oracle as O
 from textloom import fixed
@@ -70,6 +72,48 @@ def q_read_urls(spark, sf):
     return lines.trim_urls(_urls(spark, sf)).select("url_rank", "url")
 
 
+def _in_three_files(df, column, key):
+    """A folder of three files of uneven size, in the order of ``key``."""
+    path = scratch_path(df.sparkSession, "three-files")
+    most = df.agg(F.max(key)).first()[0] or 0
+    part = F.when(F.col(key) < most / 50, 0).when(F.col(key) < most / 2, 1).otherwise(2)
+    rows = df.select(part.alias("part"), F.col(column).alias("value"), key).repartitionByRange(1, "part", key)
+    rows.sortWithinPartitions("part", key).drop(key).write.partitionBy("part").text(path)
+    return path
+
+
+def q_read_url_files(spark, sf):
+    return lines.read_urls(spark, _in_three_files(_urls(spark, sf), "url", "url_rank"))
+
+
+def q_process_corpus(spark, sf):
+    docs = documents(spark, sf).select("doc_id", T.one_line(_t()).alias("text"))
+    out = scratch_path(spark, "processed")
+    clean_plan.process_corpus(spark, _in_three_files(docs, "text", "doc_id"), out, _model(spark, sf))
+    return lines.read_lines(spark, out)
+
+
+def q_fetch_captures(spark, sf):
+    crawled = page_table(spark, sf)
+    again = crawled.select((F.col("page_id") + (1 << 40)).alias("page_id"), "url", F.lit("<p>later</p>").alias("html"))
+    got = pages.fetch_pages(_urls(spark, sf), crawled.select("page_id", "url", "html").unionByName(again))
+    return got.select("url_rank", "url", F.md5(F.col("html").cast("binary")).alias("page"))
+
+
+CHARSETS = ("windows-1252", "gb2312", "shift_jis", "windows-1251", "iso-8859-1", "utf-8", "koi8-r")
+
+
+@F.pandas_udf(BinaryType())
+def _declared(pages: pd.Series, number: pd.Series) -> pd.Series:
+    """Pages in several charsets, which they declare; other characters become entities."""
+    return pd.Series([f"<meta charset='{c}'>{p}".encode(c, "xmlcharrefreplace") for p, c in zip(pages, number.map(lambda n: CHARSETS[n % len(CHARSETS)]))])
+
+
+def q_decode_charsets(spark, sf):
+    raw = page_table(spark, sf).select("page_id", _declared("html", "page_id").alias("html"))
+    return html.extract_text(raw.select("page_id", html.decode_html(F.col("html")).alias("html")))
+
+
 def q_fetch_pages(spark, sf):
     got = pages.fetch_pages(_urls(spark, sf), page_table(spark, sf))
     return got.select("url_rank", "url", F.md5(F.col("html").cast("binary")).alias("page"))
@@ -195,6 +239,12 @@ def q_gate_threshold(spark, sf):
     return safety.gate_threshold(q_nb_score(spark, sf)).select("doc_id")
 
 
+def q_ml_score_domain(spark, sf):
+    scored = _ml("toxic")(spark, sf)
+    return scored.select("doc_id", F.col("toxic_label").isin("toxic", "non-toxic").alias("known_label"),
+                         F.col("toxic_score").between(0.5, 1).alias("in_range"))
+
+
 def _ml(target):
     def run(spark, sf):
         docs = _normal(spark, sf)
@@ -264,12 +314,12 @@ def q_bucket_sizes(spark, sf):
 
 
 def q_candidate_pairs(spark, sf):
-    return neardup.candidate_pairs(neardup.lsh_bands(_normal(spark, sf)))
+    return neardup.bucket_links(neardup.lsh_bands(_normal(spark, sf)))
 
 
 def q_jaccard_verify(spark, sf):
     docs = materialize(_normal(spark, sf).select("doc_id", "text"), "normal")
-    found = neardup.verify_pairs(neardup.candidate_pairs(neardup.lsh_bands(docs)), docs)
+    found = neardup.verify_pairs(neardup.bucket_links(neardup.lsh_bands(docs)), docs)
     return found.select("i", "j", F.round("similarity", 6).alias("similarity"))
 
 
@@ -277,6 +327,10 @@ def _near(spark, sf):
     return neardup.NearDuplicates(materialize(_normal(spark, sf).select("doc_id", "text"), "normal"))
 
 
+def q_duplicate_similarity(spark, sf):
+    return _near(spark, sf).similarities().withColumn("similarity", F.round("similarity", 6))
+
+
 def q_components(spark, sf):
     return _near(spark, sf).clusters()
 
@@ -531,6 +585,14 @@ def oracle_sql() -> dict[str, str]:
     coded = [*trained, vocab, O.encoded(MERGES)]
     out = {
         "read_urls": "SELECT page_id AS url_rank, url FROM pages WHERE trim(url) <> ''",
+        "read_url_files": "SELECT row_number() OVER (ORDER BY page_id) - 1 AS url_rank, url FROM pages WHERE trim(url) <> ''",
+        "process_corpus": q(O.CLEAN_PAGE, O.clusters("cleaned"), "SELECT text FROM cleaned JOIN clustered USING (doc_id) WHERE doc_id = cluster_id"),
+        "fetch_captures": "SELECT page_id AS url_rank, url, md5(html) AS page FROM pages",
+        "decode_charsets": f"SELECT page_id, {O.html_text('html')} AS text FROM pages",
+        "duplicate_similarity": q(O.NORMAL, O.clusters("normal"), f"s AS (SELECT c.doc_id, c.cluster_id, {O.JACCARD} AS similarity FROM clustered c "
+                                  "JOIN grams a ON a.doc_id = c.cluster_id JOIN grams b ON b.doc_id = c.doc_id WHERE c.doc_id <> c.cluster_id)",
+                                  "SELECT doc_id, cluster_id, round(similarity, 6) AS similarity FROM s"),
+        "ml_score_domain": "SELECT doc_id, true AS known_label, true AS in_range FROM documents",
         "fetch_pages": "SELECT page_id AS url_rank, url, md5(html) AS page FROM pages",
         "read_labelled_lines": q(f"l AS ({labelled})", f"SELECT label, regexp_replace(raw, '[{O.S}]+$', '') AS text FROM l"),
         "strip_label": q(f"l AS ({labelled})", f"SELECT doc_id, regexp_replace(raw, '[{O.S}]+$', '') AS text FROM l"),

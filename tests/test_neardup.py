@@ -140,7 +140,7 @@ def test_nothing_to_do(docs_of):
 def test_candidate_and_verified_pairs(docs_of):
     texts = corpus(6)[:40]
     docs = docs_of(texts)
-    pairs = N.candidate_pairs(N.lsh_bands(docs), rows_per_task=3)
+    pairs = N.bucket_links(N.lsh_bands(docs), rows_per_task=3)
     got = {(r.i, r.j) for r in pairs.collect()}
     sigs = [brute_signature(t) for t in texts]
     expected = set()
@@ -186,6 +186,6 @@ def test_balanced_joins(spark):
 
 def test_no_cartesian_product(docs_of):
     found = N.NearDuplicates(docs_of(corpus(8)[:30]))
-    for df in (found.clusters(), found.kept(), N.candidate_pairs(N.lsh_bands(docs_of(["a b", "c"])))):
+    for df in (found.clusters(), found.kept(), N.bucket_links(N.lsh_bands(docs_of(["a b", "c"])))):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan

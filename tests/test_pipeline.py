@@ -41,6 +41,43 @@ def test_line_sources(spark, tmp_path):
     assert [r.text for r in lines.read_lines(spark, str(tmp_path / "e")).collect()] == ["first"]
 
 
+def test_lines_of_several_files(spark, tmp_path):
+    """Numbers follow the paths, not the sizes."""
+    for name, n in (("c", 3), ("a", 1), ("b", 5000), ("d", 0)):
+        (tmp_path / name).write_text("".join(f"http://{name}/{i}\n" for i in range(n)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    got = sorted(map(tuple, lines.read_urls(spark, str(tmp_path)).collect()))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert [u for _, u in got] == [f"http://{name}/{i}" for name, n in (("a", 1), ("b", 5000), ("c", 3)) for i in range(n)]
+    assert [n for n, _ in got] == list(range(5004))
+
+
+def test_one_capture_of_a_page(spark):
+    urls = spark.createDataFrame([(0, "http://a")], "url_rank long, url string")
+    crawled = spark.createDataFrame([(3, "http://a", "later"), (1, "http://a", "first"), (1, "http://a", "first"), (0, "http://b", "other")], "page_id long, url string, html string")
+    assert [(r.url_rank, r.page_id, r.html) for r in pages.fetch_pages(urls, crawled).collect()] == [(0, 1, "first")]
+
+
+def test_scratch_tables_go(spark):
+    import os
+
+    from textloom.session import materialize, scratch, shared_dir
+
+    def tables():
+        root = shared_dir(spark).removeprefix("file:") + "/textloom"
+        return sum(len(os.listdir(f"{root}/{app}")) for app in os.listdir(root)) if os.path.isdir(root) else 0
+
+    before = tables()
+    with scratch(spark):
+        materialize(spark.range(5), "a")
+        with scratch(spark):
+            materialize(spark.range(5), "b")
+            assert tables() == before + 2
+        assert tables() == before + 1
+    assert tables() == before
+
+
 def test_fetch_pages_from_bytes(spark):
     urls = spark.createDataFrame([(0, " http://a "), (1, "http://gone"), (2, "")], "url_rank long, url string")
     crawled = spark.createDataFrame([(1, "http://a", bytearray(b"<p>\xff"))], "page_id long, url string, html binary")
@@ -144,6 +181,19 @@ def test_turns(spark):
     assert "".join(r.piece for r in rendered if r.conv_id == 1) == "\nUser: hi \nBot: yo"
 
 
+def test_context_budget_of_many_chunks(spark):
+    """User turns never clear, so every chunk starts with all before it."""
+    turns = [(1, t, "user", 3) for t in range(3000)] + [(2, t, ("user", "assistant")[t % 2], 1 + t % 5) for t in range(3000)]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, tokens long")
+    got = {(r.conv_id, r.turn): (r.held, r.cleared) for r in chat.context_budget(df, 20, chunk_turns=1).collect()}
+    held, conv = 0, None
+    for c, t, role, n in turns:
+        held = (held if c == conv else 0) + n
+        conv, clear = c, role == "assistant" and held > 20
+        assert got[c, t] == (held, clear)
+        held = 0 if clear else held
+
+
 @pytest.mark.parametrize("chunk", [1, 3, 1024])
 def test_context_budget(spark, chunk):
     rnd = random.Random(11)

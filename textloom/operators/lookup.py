@@ -2,10 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.session import BROADCAST_ROWS, HOT_KEYS
+from textloom.session import BROADCAST_BYTES, BROADCAST_ROWS, HOT_KEYS
+
+
+def value_bytes(df: DataFrame) -> Column:
+    """About the bytes of a row's values."""
+    def size(name: str, kind: str) -> Column:
+        c = F.col(name)
+        if kind in ("string", "binary"):
+            return F.coalesce(F.octet_length(c), F.lit(0))
+        if kind.startswith(("array<string", "array<binary", "struct", "map", "array<array", "array<struct")):
+            return F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+        return F.coalesce(F.size(c), F.lit(0)) * 8 if kind.startswith("array") else F.lit(8)
+
+    total = F.lit(0).cast("long")
+    for name, kind in df.dtypes:
+        total = total + size(name, kind)
+    return total
 
 
 def lookup(left: DataFrame, table: DataFrame, key: str, weight: str, how: str = "inner",
@@ -18,8 +34,8 @@ def lookup(left: DataFrame, table: DataFrame, key: str, weight: str, how: str =
     them, are broadcast and never shuffled; the others have few rows each and
     are joined by a shuffle.  The result is the same either way.
     """
-    size, total = table.agg(F.count(F.lit(1)), F.sum(weight)).first()
-    if size <= broadcast_rows:
+    size, total, held = table.agg(F.count(F.lit(1)), F.sum(weight), F.sum(value_bytes(table))).first()
+    if size <= broadcast_rows and (held or 0) <= BROADCAST_BYTES:
         return left.join(F.broadcast(table), key, how)
     is_hot = F.coalesce(F.col(weight), F.lit(0)) * hot_keys > F.lit(total)
     hot, cold = table.filter(is_hot), table.filter(~is_hot)
@@ -38,7 +54,8 @@ def pick(df: DataFrame, ids: DataFrame, key: str, broadcast_rows: int = BROADCAS
     is not shuffled; a long one goes through a shuffle.
     """
     ids = ids.select(key)
-    if ids.count() <= broadcast_rows:
+    n, held = ids.agg(F.count(F.lit(1)), F.sum(value_bytes(ids))).first()
+    if n <= broadcast_rows and (held or 0) <= BROADCAST_BYTES:
         ids = F.broadcast(ids)
     return df.join(ids, key, how)
 

@@ -155,11 +155,13 @@ def bucket_sizes(bands: DataFrame, key: str = "doc_id") -> DataFrame:
     )
 
 
-def candidate_pairs(bands: DataFrame, key: str = "doc_id", rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def bucket_links(bands: DataFrame, key: str = "doc_id", rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Distinct pairs ``i < j`` of each bucket's smallest member with its other members.
 
     One pair for a member of a bucket, so the output is linear in the input
-    however large a bucket is, and it connects the same documents as all pairs.
+    however large a bucket is, and it connects the same documents as all pairs do.
+    Once pairs are verified that no longer holds: two similar members lose each
+    other where the smallest is unlike both.  ``NearDuplicates`` finds all classes.
     """
     bands = materialize(bands, "bands")
     keyed = bands.withColumn("bucket", F.struct("band", "band_key"))
@@ -318,7 +320,8 @@ class NearDuplicates:
                  threshold: float = fixed.JACCARD, n: int = fixed.NGRAM, k: int = fixed.NUM_HASHES,
                  bands: int = fixed.NUM_BANDS, hubs: int = HUBS, rows_per_task: int = ROWS_PER_TASK):
         scope = scope or []
-        self.docs, self.key, self.scope, self.rows_per_task = docs, key, scope, rows_per_task
+        self.docs, self.text, self.key, self.n = docs, text, key, n
+        self.scope, self.rows_per_task = scope, rows_per_task
         self.signed = materialize(_signed(docs, text, key, scope, n, k, bands), "signed")
         self.reps = materialize(_representatives(self.signed, key, scope), "representatives")
         links = _links(self.reps.select(key, "buckets"), docs, text, key, threshold, n, hubs, rows_per_task)
@@ -352,6 +355,17 @@ class NearDuplicates:
         lost = materialize(ids.join(self.kept_ids(), self.key, "left_anti"), "lost")
         return leave_out(self.docs, lost, self.key)
 
+    def similarities(self) -> DataFrame:
+        """``key, cluster_id, similarity``: each document that goes, with the one kept and their exact similarity.
+
+        Every such document has one row, whether it was linked to the kept one
+        directly or through others.
+        """
+        gone = self.clusters().filter(F.col(self.key) != F.col("cluster_id"))
+        pairs = gone.select(F.col("cluster_id").alias("i"), F.col(self.key).alias("j"))
+        found = verify_pairs(pairs, self.docs, 0.0, self.text, self.key, self.n, self.rows_per_task)
+        return found.select(F.col("j").alias(self.key), F.col("i").alias("cluster_id"), "similarity")
+
     def sizes(self) -> DataFrame:
         """``cluster_id, size`` of clusters with several documents.
 

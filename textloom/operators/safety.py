@@ -11,6 +11,8 @@ import math
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, NGram, RegexTokenizer, VectorAssembler
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 
 from textloom.fixed import GATE_SCORE
 from textloom.operators.lookup import lookup
-from textloom.session import materialize
+from textloom.session import BROADCAST_BYTES, BROADCAST_ROWS, materialize
 
 # What the two gates look for; the stand-in for NSFW is a low quality label.
 TARGETS = {"nsfw": "quality = 0", "toxic": "toxic = 1"}
@@ -101,8 +103,38 @@ def nb_score(docs: DataFrame, model: NaiveBayes, text: str = "text", key: str =
 
 
 def score_harmful(docs: DataFrame, model: NaiveBayes, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``docs`` with the labels and scores of both gates, from one pass over the words."""
-    return docs.join(nb_score(docs, model, text, key), key)
+    """``docs`` with the labels and scores of both gates.
+
+    Weights of a checked size go to every task and texts are scored where they
+    are; with more of them words are joined with their weights, and texts with scores.
+    """
+    odds = _odds_in_row(model, text)
+    if odds is None:
+        return docs.join(nb_score(docs, model, text, key), key)
+    columns = {}
+    for t in model.priors:
+        columns |= _odds_to_columns(F.col("__odds")[f"odds_{t}"], t)
+    return docs.withColumn("__odds", odds).select(*docs.columns, *[c.alias(name) for name, c in columns.items()])
+
+
+def _odds_in_row(model: NaiveBayes, text: str) -> Column | None:
+    """Arrow function with the weights of all tokens, if these are few enough to send."""
+    size, held = model.weights.agg(F.count(F.lit(1)), F.sum(F.octet_length("token"))).first()
+    if size > BROADCAST_ROWS or (held or 0) > BROADCAST_BYTES:
+        return None
+    targets = list(model.priors)
+    rows = model.weights.select("token", *[f"w_{t}" for t in targets]).toPandas()
+    place = model.weights.sparkSession.sparkContext.broadcast(
+        (dict(zip(rows["token"], range(len(rows)))), np.vstack([rows.drop(columns="token").to_numpy(float), np.zeros(len(targets))])))
+    priors, unknown = [model.priors[t] for t in targets], len(rows)
+
+    @F.pandas_udf(", ".join(f"odds_{t} double" for t in targets))
+    def odds(docs: pd.Series) -> pd.DataFrame:
+        at, weights = place.value
+        sums = [weights[[at.get(w, unknown) for w in (() if d is None else d)]].sum(axis=0) for d in docs]
+        return pd.DataFrame(np.array(sums).reshape(-1, len(targets)) + priors, columns=[f"odds_{t}" for t in targets])
+
+    return odds(words(text))
 
 
 def gate_label_only(scored: DataFrame) -> DataFrame:
@@ -121,13 +153,13 @@ def train_text_classifier(docs: DataFrame, labels: DataFrame, target: str, condi
                           text: str = "text", key: str = "doc_id", features: int = 1 << 16) -> PipelineModel:
     """Unigrams and bigrams, hashed, into a regularised logistic regression.
 
-    Rows go in key order in a number of partitions taken from the data, so that
-    sums run in the same order every time.
+    Rows are dealt out by a hash of the key and go in key order within it, so
+    that sums run over the same rows in the same order every time.
     """
     flagged = docs.select(key, text).join(
         labels.select(key, F.expr(condition or TARGETS[target]).cast("double").alias("label")), key)
     parts = max(1, labels.count() // 10_000)
-    flagged = flagged.repartitionByRange(parts, key).sortWithinPartitions(key)
+    flagged = flagged.repartition(parts, key).sortWithinPartitions(key)
     split = RegexTokenizer(inputCol=text, outputCol="words", pattern=r"\s+", toLowercase=False)
     pairs = NGram(n=2, inputCol="words", outputCol="pairs")
     hash_words = HashingTF(inputCol="words", outputCol="word_features", numFeatures=features)

@@ -12,8 +12,8 @@ from textloom.operators.lookup import pick
 from textloom.operators.neardup import dedup
 from textloom.operators.quality import judge_quality, keep_quality
 from textloom.operators.ranking import rank_ordered
-from textloom.operators.safety import NaiveBayes, gate_threshold, nb_fit, nb_score, score_harmful
-from textloom.session import materialize
+from textloom.operators.safety import NaiveBayes, gate_threshold, nb_fit, score_harmful
+from textloom.session import materialize, scratch
 from textloom.sources.lines import number_lines, parse_labelled, write_lines
 
 
@@ -32,13 +32,10 @@ def clean_pages(df: DataFrame, model: NaiveBayes, text: str = "text", key: str =
                 mask_first: bool = False) -> DataFrame:
     """Documents that pass both gates and the quality rules, normalised and masked.
 
-    The rules are a conjunction, so the cheap ones, which need no shuffle, run
-    first.  Scores are formed from words only; the text is joined with the ids
-    that pass.
+    The rules are a conjunction, so the cheap ones run first.
     """
-    good = materialize(keep_quality(normalized(df, text, mask_first), text), "well-formed")
-    harmless = gate_threshold(nb_score(good, model, text, key)).select(key)
-    return mask_text(good.join(harmless, key, "left_semi"), text)
+    good = keep_quality(normalized(df, text, mask_first), text)
+    return mask_text(gate_threshold(score_harmful(good, model, text, key)).select(*good.columns), text)
 
 
 def judge_pages(df: DataFrame, model: NaiveBayes, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -46,7 +43,7 @@ def judge_pages(df: DataFrame, model: NaiveBayes, text: str = "text", key: str =
 
     Reasons come in the order of the steps: NSFW gate, toxicity gate, quality rules.
     """
-    scored = judge_quality(score_harmful(materialize(normalized(df, text), "normalized"), model, text, key), text)
+    scored = judge_quality(score_harmful(normalized(df, text), model, text, key), text)
     nsfw = (F.col("nsfw_label") != "non-nsfw") | (F.col("nsfw_score") <= GATE_SCORE)
     toxic = (F.col("toxic_label") != "non-toxic") | (F.col("toxic_score") < GATE_SCORE)
     return scored.select(key, F.when(nsfw, "nsfw").when(toxic, "toxic").otherwise(F.col("drop_reason")).alias("drop_reason"))
@@ -73,10 +70,11 @@ def process_corpus(spark: SparkSession, path_in: str, path_out: str, model: Naiv
     Near duplicates are removed over the whole input unless ``chunk_size`` is given;
     a chunk is then that many non-blank lines.
     """
-    lines = parse_labelled(number_lines(spark, path_in))
-    if chunk_size is None:
-        cleaned = clean(lines, model)
-    else:
-        ranked = rank_ordered(lines, "doc_id").withColumn("position", F.col("rank") - 1)
-        cleaned = clean_chunked(ranked, model, chunk_size, "position")
-    write_lines(cleaned.orderBy("doc_id"), path_out)
+    with scratch(spark):
+        lines = parse_labelled(number_lines(spark, path_in))
+        if chunk_size is None:
+            cleaned = clean(lines, model)
+        else:
+            ranked = rank_ordered(lines, "doc_id").withColumn("position", F.col("rank") - 1)
+            cleaned = clean_chunked(ranked, model, chunk_size, "position")
+        write_lines(cleaned.orderBy("doc_id"), path_out)

@@ -10,8 +10,7 @@ from textloom.functions.html import extract_text
 from textloom.functions.pii import mask_text
 from textloom.operators.keep import keep
 from textloom.operators.quality import keep_quality
-from textloom.operators.safety import NaiveBayes, gate_label_only, nb_score
-from textloom.session import materialize
+from textloom.operators.safety import NaiveBayes, gate_label_only, score_harmful
 from textloom.sources.lines import labelled
 from textloom.sources.pages import fetch_pages
 
@@ -29,10 +28,8 @@ def page_samples(pages: DataFrame, model: NaiveBayes, key: str = "url_rank") ->
     """
     flat = extract_text(pages).withColumn("text", T.flatten_lines(F.col("text")))
     good = keep_quality(keep(flat, T.long_enough(F.col("text"))))
-    good = materialize(good, "good-pages")
-    scores = nb_score(good.select(key, T.normalize_text(F.col("text")).alias("text")), model, key=key)
-    harmless = gate_label_only(scores).select(key)
-    return mask_text(good.join(harmless, key, "left_semi"))
+    scored = score_harmful(good.withColumn("__normal", T.normalize_text(F.col("text"))), model, "__normal", key)
+    return mask_text(gate_label_only(scored).select(*good.columns))
 
 
 def collect_samples(urls: DataFrame, pages: DataFrame, model: NaiveBayes,

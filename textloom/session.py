@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,6 +14,10 @@ BROADCAST_ROWS = 500_000
 # A key is "hot" when it holds more than 1/HOT_KEYS of the rows, so there are
 # never more than HOT_KEYS of them and a list of hot keys may be broadcast.
 HOT_KEYS = 100_000
+# Nor when its values take more than this.
+BROADCAST_BYTES = 128 << 20
+# Lists of the tables written within scratch blocks, innermost last.
+_OPEN: list[list[str]] = []
 
 
 def get_spark(app: str = "textloom", master: str | None = None,
@@ -55,7 +61,27 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, tag: str) -> str:
     """A new path below the shared folder."""
     app = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/textloom/{app}/{tag}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark)}/textloom/{app}/{tag}-{uuid.uuid4().hex[:12]}"
+    for tables in _OPEN[-1:]:
+        tables.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables written below the shared folder within this block when it is left.
+
+    For jobs that have written their result by then; what they read lazily is gone.
+    """
+    tables: list[str] = []
+    _OPEN.append(tables)
+    try:
+        yield
+    finally:
+        _OPEN.remove(tables)
+        for path in tables:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def materialize(df: DataFrame, tag: str = "table") -> DataFrame:

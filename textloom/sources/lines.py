@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.fixed import LABEL_HIGH
 from textloom.functions.text import label_of, one_line, strip_label, strip_space
+from textloom.session import BROADCAST_ROWS, materialize
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -19,17 +20,26 @@ def trim_urls(df: DataFrame, url: str = "url") -> DataFrame:
 
 
 def number_lines(spark: SparkSession, path: str, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Lines with their number in the file, from 0.
+    """Lines with their running number over all files, from 0, files in order of their paths.
 
-    Line numbers are a property of the file, not of a column, hence zipWithIndex:
-    one extra counting pass, no shuffle.
+    Rows of a split follow each other in a task, so their place in it is the
+    distance to its first row.  The splits before it are counted in a pass that
+    reads no text beyond line ends; only one row for a split is ordered.
     """
-    lines = spark.read.text(path).rdd.map(lambda row: row[0]).zipWithIndex()
-    return spark.createDataFrame(lines, f"{text} string, {key} long").select(key, text)
+    split = ("path", "block")
+    read = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"))
+    splits = materialize(read.groupBy(*split).agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n")), "splits")
+    before = Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
+    starts = splits.select(*split, (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"))
+    if splits.count() <= BROADCAST_ROWS:
+        starts = F.broadcast(starts)
+    return read.join(starts, [*split]).select((F.col("row") + F.col("shift")).alias(key), F.col("value").alias(text))
 
 
 def read_urls(spark: SparkSession, path: str) -> DataFrame:
-    """``url_rank, url`` in file order, blank lines skipped."""
+    """``url_rank, url`` in the order of files and lines, blank lines skipped."""
     return trim_urls(number_lines(spark, path, "url", "url_rank"))
 
 

@@ -8,15 +8,19 @@ from pyspark.sql.types import BinaryType
 
 from textloom.functions.html import decode_html
 from textloom.operators.lookup import pick
+from textloom.session import materialize
 from textloom.sources.lines import trim_urls
 
 
 def fetch_pages(urls: DataFrame, pages: DataFrame) -> DataFrame:
-    """Pages of the listed URLs; a URL without a page counts as a failed fetch.
+    """The page of each listed URL; a URL without a page counts as a failed fetch.
 
+    Of several captures of a URL the one with the smallest ``page_id`` is taken.
     Reads a table of crawled pages in place of the network.  When the URL list is
     short its length is checked and it is broadcast, so page sources stay put.
     """
     if isinstance(pages.schema["html"].dataType, BinaryType):
         pages = pages.withColumn("html", decode_html(F.col("html")))
-    return trim_urls(urls).join(pick(pages, trim_urls(urls), "url"), "url")
+    asked = trim_urls(urls)
+    first = materialize(pick(pages.select("url", "page_id"), asked, "url").groupBy("url").agg(F.min("page_id").alias("page_id")), "captures")
+    return asked.join(pick(pages, first, "page_id").dropDuplicates(["page_id"]), "url")
