@@ -13,13 +13,14 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from textloom.llm.chunks import ChunkMemo, grouped
+from textloom.llm.chunks import ChunkMemo, byte_characters, grouped
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 _NO_PAIR = np.iinfo(np.int64).max
@@ -31,13 +32,6 @@ _SPACES = re.compile(f"[{_SPACE}]+")
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
-def byte_characters() -> list[str]:
-    """The printable character that stands for each byte in the vocabulary."""
-    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    rest = iter(range(256, 512))
-    return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
-
-
 class WordBpe:
     """A BPE with word ends, read from a ``tokenizers`` file."""
 
@@ -152,7 +146,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     columns are ignored.  Strings of special tokens become their ids.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, codes in _encoded(WordBpe(path), batches):
+        for ids, codes in _encoded(path, batches):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array([c.astype(np.int32) for c in codes], pa.list_(pa.int32()))], ["doc_id", "ids"])
 
@@ -162,7 +156,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 def decode(coded: DataFrame, path: str) -> DataFrame:
     """``doc_id, text`` of ``coded(doc_id, ids)``; null ids give an empty text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = WordBpe(path)
+        bpe, _ = word_bpe(path)
         for batch in batches:
             texts = [bpe.decode(x.as_py() or []) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
@@ -173,8 +167,8 @@ def decode(coded: DataFrame, path: str) -> DataFrame:
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """``encode`` and ``decode`` of every text in one pass, as counts and SHA-256 digests."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = WordBpe(path)
-        for ids, codes in _encoded(bpe, batches):
+        bpe, _ = word_bpe(path)
+        for ids, codes in _encoded(path, batches):
             digest = [hashlib.sha256(c.astype("<u4").tobytes()).hexdigest() for c in codes]
             text = [hashlib.sha256(bpe.decode(c.tolist()).encode("utf-8")).hexdigest() for c in codes]
             yield pa.RecordBatch.from_arrays(
@@ -184,8 +178,15 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
 
 
-def _encoded(bpe: WordBpe, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[np.ndarray]]]:
-    memo = ChunkMemo(bpe.encode_chunks)
+@lru_cache
+def word_bpe(path: str) -> tuple[WordBpe, ChunkMemo]:
+    """The tokenizer and its memory, shared by the tasks of a worker."""
+    bpe = WordBpe(path)
+    return bpe, ChunkMemo(bpe.encode_chunks)
+
+
+def _encoded(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[np.ndarray]]]:
+    bpe, memo = word_bpe(path)
     for batch in batches:
         rows = ((i.as_py(), t.as_py() or "") for i, t in zip(batch.column(0), batch.column(1)))
         for group in grouped(rows, 1):

@@ -8,8 +8,10 @@ losing an executor loses nothing but this memory.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
@@ -17,10 +19,16 @@ import numpy as np
 # Characters of text that are encoded together.
 GROUP_CHARS = 1_000_000
 # Chunks a worker remembers.
-LIMIT = 600_000
+LIMIT = 1_200_000
 
 _BEFORE_WORD = re.compile(r" (?=\S)")
-_ODD_LINES = re.compile(r"\s\n|\n\s")
+
+
+def byte_characters() -> list[str]:
+    """The printable character that stands for each byte in a byte-level vocabulary."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
 
 
 class Grown:
@@ -98,26 +106,92 @@ def grouped(items: Iterable[tuple], text_at: int, chars: int = GROUP_CHARS) -> I
         yield group
 
 
-def byte_bpe_chunks(text: str) -> list[str]:
-    """Cut a text for a byte-level BPE whose words take a leading space (``public_tokenizers.PATTERN``).
+# --- byte-level BPE whose words take a leading space ----------------------------------
+#
+# A chunk is written as its key: "word" stands for " word", and a chunk that is no
+# space followed by a non-space has one more space in front, so " \n" stands for "\n".
+
+
+def literal(key: str) -> str:
+    return key[1:] if key[0] == " " else " " + key
+
+
+def byte_bpe_keys(text: str) -> list[str]:
+    """The keys of a text's chunks for a tokenizer with ``public_tokenizers.PATTERN``.
 
     Its words always begin anew at a space before a non-space.  A line feed
     between two other non-spaces is a word of its own.
     """
     if not text:
         return []
-    if "\n" not in text or _ODD_LINES.search(text):
+    lines = text.split("\n")
+    if any(not x or x[0].isspace() or x[-1].isspace() for x in lines):
         return _at_spaces(text)
     out: list[str] = []
-    for line in text.split("\n"):
-        if line:
+    for line in lines:
+        if line.isprintable() and "  " not in line:
+            # No white space but single spaces between words.
+            words = line.split(" ")
+            words[0] = " " + words[0]
+            out += words
+        else:
             out += _at_spaces(line)
-        out.append("\n")
+        out.append(" \n")
     out.pop()
     return out
 
 
 def _at_spaces(text: str) -> list[str]:
     first, *rest = _BEFORE_WORD.split(text)
-    out = [" " + c for c in rest]
-    return [first, *out] if first else out
+    return [" " + first, *rest] if first else rest
+
+
+class ByteBpe:
+    """A byte-level BPE from a ``tokenizers`` file, run by tiktoken on its vocabulary."""
+
+    def __init__(self, path: str, special: bool = True):
+        import tiktoken
+        from public_tokenizers import PATTERN
+
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        number = {c: b for b, c in enumerate(byte_characters())}
+        named = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        # Ids follow the order of the merges, so they are the ranks.
+        ranks = {bytes(number[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in named}
+        self.special = named if special else {}
+        self.codec = tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=self.special)
+        self.length = np.zeros(max([*ranks.values(), *named.values()]) + 1, np.int64)
+        for token, i in [*ranks.items(), *((t.encode(), i) for t, i in self.special.items())]:
+            self.length[i] = len(token)
+
+    def keys(self, text: str) -> list[str]:
+        """Keys of the chunks of a text; one with the string of a special token is left whole."""
+        if any(s in text for s in self.special):
+            return [" " + text]
+        return byte_bpe_keys(text)
+
+    def encode(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of chunks and the number of ids of each."""
+        # Plain chunks are encoded in one text, as nothing reaches across their first spaces.
+        plain = np.array([k[0] != " " for k in keys])
+        joined = [" " + k for k in keys if k[0] != " "]
+        ids = self.codec.encode_to_numpy("".join(joined)) if joined else np.empty(0, np.uint32)
+        ends = np.cumsum([len(c.encode("utf-8", "replace")) for c in joined])
+        upto = np.searchsorted(np.cumsum(self.length[ids]), ends, side="left") + 1
+        size = np.zeros(len(keys), np.int64)
+        size[plain] = np.diff(np.r_[0, upto]) if joined else 0
+        others = [self.codec.encode(k[1:], allowed_special="all") for k in keys if k[0] == " "]
+        size[~plain] = [len(x) for x in others]
+        flat = np.empty(size.sum(), np.uint32)
+        is_plain = np.repeat(plain, size)
+        flat[is_plain] = ids
+        flat[~is_plain] = [i for x in others for i in x]
+        return flat, size
+
+
+@lru_cache
+def byte_bpe(path: str, special: bool = True) -> tuple[ByteBpe, ChunkMemo]:
+    """The tokenizer and its memory, shared by the tasks of a worker."""
+    bpe = ByteBpe(path, special)
+    return bpe, ChunkMemo(bpe.encode)

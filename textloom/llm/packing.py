@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from textloom.llm.chunks import ChunkMemo, byte_bpe_chunks, grouped
+from textloom.llm.chunks import byte_bpe, grouped
 
 WINDOW = 2048
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -109,31 +109,6 @@ class Packer:
         self.parts = {}
 
 
-def tokenizer_memo(path: str) -> ChunkMemo:
-    """Ids of chunks by the tokenizers library and its file at ``path``."""
-    from tokenizers import Tokenizer
-
-    tok = Tokenizer.from_file(path)
-    tok.no_truncation()
-    tok.no_padding()
-
-    def encode(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        got = [e.ids for e in tok.encode_batch(chunks, add_special_tokens=False)]
-        size = np.array([len(x) for x in got], np.int64)
-        return np.array([i for x in got for i in x], np.uint32), size
-
-    memo = ChunkMemo(encode)
-    memo.special = [t.content for t in tok.get_added_tokens_decoder().values()]
-    return memo
-
-
-def split_for(memo: ChunkMemo, text: str) -> list[str]:
-    """Chunks of a text; one with the string of a special token is left whole."""
-    if any(s in text for s in memo.special):
-        return [text]
-    return byte_bpe_chunks(text)
-
-
 def pack(docs: DataFrame, path: str, end_id: int = 1, window: int = WINDOW, with_ids: bool = True) -> DataFrame:
     """Pieces of all documents in sequences of at most ``window`` tokens.
 
@@ -144,13 +119,13 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, window: int = WINDOW, with
     offset and, unless ``with_ids`` is false, ids.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, packer = tokenizer_memo(path), Packer(window)
+        (bpe, memo), packer = byte_bpe(path), Packer(window)
         base = TaskContext.get().partitionId() << SEQUENCE_BITS
         ready: list[tuple] = []
         for batch in batches:
             rows = ((i.as_py(), t.as_py() or "") for i, t in zip(batch.column(0), batch.column(1)))
             for group in grouped(rows, 1):
-                for (i, _), slots in zip(group, memo.encoded([split_for(memo, t) for _, t in group])):
+                for (i, _), slots in zip(group, memo.encoded([bpe.keys(t) for _, t in group])):
                     ids = np.append(memo.ids(slots), np.uint32(end_id))
                     ready += packer.add((i, len(ids)), ids)
                 if len(ready) > 2000:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.chunks import ChunkMemo, byte_bpe_chunks, grouped
+from textloom.llm.chunks import ChunkMemo, byte_bpe, byte_bpe_keys, grouped
 
 # Words of a leaf when its text is cut anew.
 LEAF_WORDS = 32
@@ -31,29 +31,18 @@ COUNTS = ("doc_id long, n_tokens_before long, n_tokens long, n_edits long, n_cha
 
 def counting_memo(path: str) -> ChunkMemo:
     """Numbers of tokens of chunks; strings of special tokens are ordinary text."""
-    from tokenizers import Tokenizer
-
-    tok = Tokenizer.from_file(path)
-    tok.no_truncation()
-    tok.no_padding()
-    tok.encode_special_tokens = True
-
-    def encode(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        got = [e.ids for e in tok.encode_batch(chunks, add_special_tokens=False)]
-        return np.array([i for x in got for i in x], np.uint32), np.array([len(x) for x in got], np.int64)
-
-    return ChunkMemo(encode)
+    return byte_bpe(path, special=False)[1]
 
 
 def leaves_of(text: str, memo: ChunkMemo) -> tuple[np.ndarray, np.ndarray]:
     """Characters and tokens of the leaves of a text."""
-    chunks = byte_bpe_chunks(text)
-    if not chunks:
+    keys = byte_bpe_keys(text)
+    if not keys:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    size = np.array([len(c) for c in chunks], np.int64)
-    tokens = memo.sizes(next(memo.encoded([chunks])))
-    # Line feeds cut chunks too; leaves begin at spaces before a non-space only.
-    words = np.array([c[0] == " " and len(c) > 1 and not c[1].isspace() for c in chunks])
+    # A plain key stands for a space and itself; leaves begin at these only.
+    words = np.array([k[0] != " " for k in keys])
+    size = np.array([len(k) for k in keys], np.int64) + np.where(words, 1, -1)
+    tokens = memo.sizes(next(memo.encoded([keys])))
     words[0] = True
     begin = np.flatnonzero(words)[::LEAF_WORDS]
     return np.add.reduceat(size, begin), np.add.reduceat(tokens, begin)
@@ -109,8 +98,8 @@ class TokenTree:
         # The next leaf must begin as before: it does if the edit stays left of it.
         region = self.text[begin:start] + new + self.text[stop:end]
         self.text = self.text[:start] + new + self.text[stop:]
-        chunks = byte_bpe_chunks(region)
-        tokens = int(self.memo.sizes(next(self.memo.encoded([chunks]))).sum()) if chunks else 0
+        keys = byte_bpe_keys(region)
+        tokens = int(self.memo.sizes(next(self.memo.encoded([keys]))).sum()) if keys else 0
         self.encoded += len(region)
         self._set(first, last, len(region), tokens)
         if len(region) > 64 * LEAF_WORDS * max(1, last - first + 1):
@@ -200,7 +189,7 @@ def count_edited(docs: DataFrame, edits: Column, path: str) -> DataFrame:
         memo = counting_memo(path)
         for group in _groups(batches):
             # The words of the whole group are looked up together first.
-            for _ in memo.encoded([byte_bpe_chunks(t) for _, t, _ in group]):
+            for _ in memo.encoded([byte_bpe_keys(t) for _, t, _ in group]):
                 pass
             rows = []
             for i, text, listed in group:
