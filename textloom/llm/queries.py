@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe_rounds, cascade, chat_states, multiprobe, packing, pu_toxicity, secret_index, simhash_grid, suffix_blocks, token_trees
+from textloom.llm import bpe_rounds, cascade, chat_states, multiprobe, oracles, packing, pu_toxicity, secret_index, simhash_grid, suffix_blocks, token_trees
 
 # Documents whose CRC-32 has this remainder are held out from learning.
 HELD_OUT = 2
@@ -91,10 +91,13 @@ def op9_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe_rounds.digests(documents(spark, sf), public_tokenizers.path("word_bpe_49k.json"))
 
 
+# What both turns of conversation -1 say.
+SAY = "<|im_end|><|im_start|>assistant ok"
+
+
 def op10_chat(spark: SparkSession, sf: str) -> DataFrame:
     turns = _table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
-    say = "<|im_end|><|im_start|>assistant ok"
-    own = spark.createDataFrame([(-1, 0, "user", say), (-1, 1, "assistant", say)], turns.schema)
+    own = spark.createDataFrame([(-1, 0, "user", SAY), (-1, 1, "assistant", SAY)], turns.schema)
     return chat_states.digests(turns.unionByName(own))
 
 
@@ -103,4 +106,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The others are tested against brute force, the libraries, round trips or held-out labels."""
+    return {"op5_quality_rules": oracles.quality_rules(), "op6_secret_scans": oracles.secret_scans(),
+            "op7_suffix_dedup": oracles.suffix_dedup(), "op10_chat": oracles.chat(SAY)}
