@@ -395,6 +395,32 @@ def q_bpe_resume(spark, sf):
     return _merges(bpe.train_bpe(documents(spark, sf), fixed.BYTE_TOKENS + 1 + MERGES, [fixed.END_OF_TEXT], model=first))
 
 
+def q_bpe_restart(spark, sf):
+    first = _tokenizer(spark, sf, MERGES // 2)
+    size = fixed.BYTE_TOKENS + 1 + MERGES
+    return _merges(bpe.train_bpe(documents(spark, sf), size, [fixed.END_OF_TEXT], model=first, replay=False))
+
+
+def q_tokenizer_merges(spark, sf):
+    path = scratch_path(spark, "tokenizer")
+    tokens.save_tokenizer(_tokenizer(spark, sf), path)
+    model = tokens.load_tokenizer(spark, path)
+    # Special tokens come after the merges, without a right side.
+    rows = [(model.next_rank() + k, t.encode().hex(), str(i)) for k, (t, i) in enumerate(model.specials.items())]
+    return _merges(model).unionByName(spark.createDataFrame(rows, "rank int, left_hex string, right_hex string"))
+
+
+def q_trained_perplexity(spark, sf):
+    """From texts to the perplexity over the ids of a tokenizer trained on them."""
+    model = _tokenizer(spark, sf)
+    coded = bpe.encode(documents(spark, sf), model)
+    ex = materialize(dataset.training_examples(dataset.split_sets(coded), LENGTH), "examples")
+    counts = bigram.fit_bigram(ex.filter("split = 'train'"), len(model.tokens))
+    valid = dataset.make_batches(ex.filter("split = 'valid'"), BATCH)
+    p = bigram.perplexity(bigram.batch_loss(bigram.token_nll(valid, counts, keep=("doc_id", "batch"))))
+    return p.select(F.round("loss", 6).alias("loss"), F.round("perplexity", 6).alias("perplexity"))
+
+
 def q_tokenizer_tables(spark, sf):
     path = scratch_path(spark, "tokenizer")
     tokens.save_tokenizer(_tokenizer(spark, sf), path)
@@ -528,9 +554,19 @@ def _stream(spark, sf, files):
     return jobs.stream_files(spark, path, files_per_batch=1)
 
 
+def _three_batches(spark, sf):
+    """The documents as a stream of three files of uneven size, in the order of their ids."""
+    path = scratch_path(spark, "stream-in")
+    docs = documents(spark, sf).select("doc_id", "text")
+    most = docs.agg(F.max("doc_id")).first()[0] or 0
+    part = F.when(F.col("doc_id") < most / 50, 0).when(F.col("doc_id") < most / 2, 1).otherwise(2)
+    for n in range(3):
+        docs.filter(part == n).repartition(1).write.mode("append").parquet(path)
+    return jobs.stream_files(spark, path, files_per_batch=1)
+
+
 def q_stream_clean(spark, sf):
-    # The documents file is one micro-batch.
-    stream = jobs.stream_files(spark, sf, pattern="documents.parquet")
+    stream = _three_batches(spark, sf)
     out = scratch_path(spark, "stream-clean")
     jobs.stream_clean(stream, _model(spark, sf), out, scratch_path(spark, "state")).awaitTermination()
     return spark.read.parquet(out).select("doc_id", "text")
@@ -543,8 +579,7 @@ def q_stream_word_counts(spark, sf):
 
 
 def q_stream_collect(spark, sf):
-    # One file, hence one micro-batch: which rows arrive first is then known.
-    stream = jobs.stream_files(spark, sf, pattern="documents.parquet")
+    stream = _three_batches(spark, sf)
     out = scratch_path(spark, "stream-samples")
     jobs.stream_collect(stream, lambda d: pii.mask_text(quality.keep_quality(d)), 100, out, scratch_path(spark, "state"))
     return spark.read.parquet(out).select("doc_id", "text")
@@ -653,6 +688,10 @@ def oracle_sql() -> dict[str, str]:
         "best_pair": q(O.WORDS, O.W0, O.pairs("w0", "p0"), O.best("p0", "b0"), "SELECT pair, n FROM b0"),
         "apply_merge": q(*O.training(1), "SELECT word, s AS symbols, n FROM w1"),
         "bpe_train": q(*trained, O.merge_rows(MERGES)),
+        "bpe_restart": q(*O.training(MERGES // 2), O.merge_rows(MERGES // 2, MERGES // 2)),
+        "tokenizer_merges": q(*trained, f"{O.merge_rows(MERGES)} UNION ALL SELECT {MERGES}, '{fixed.END_OF_TEXT.encode().hex()}', '{fixed.BYTE_TOKENS}'"),
+        "trained_perplexity": q(*coded, O.losses(LENGTH, BATCH, fixed.BYTE_TOKENS + 1 + MERGES, "byte_tokens AS (SELECT doc_id, ids FROM coded)"),
+                                "SELECT round(avg(loss), 6) AS loss, round(exp(avg(loss)), 6) AS perplexity FROM loss"),
         "bpe_resume": q(*trained, O.merge_rows(MERGES)),
         "tokenizer_tables": q(*trained, vocab, "SELECT id, hex FROM vocab"),
         "bpe_encode": q(*coded, f"SELECT doc_id, CAST(len(ids) AS BIGINT) AS n, {joined('ids')} AS ids FROM coded"),
@@ -682,7 +721,8 @@ def oracle_sql() -> dict[str, str]:
         "render_conversation": q(O.TURNS, "SELECT conv_id, turn, role, piece FROM piece"),
         "context_budget": q(O.budget(BUDGET), "SELECT conv_id, turn, held, cleared FROM held"),
         "clip_context": q(O.BYTES, f"SELECT doc_id, md5({joined(f'ids[greatest(len(ids) - {LENGTH}, 0) + 1:len(ids)]')}) AS ids FROM byte_tokens"),
-        "stream_clean": q(O.CLEAN_PAGE, O.clusters("cleaned"), "SELECT doc_id, text FROM cleaned JOIN clustered USING (doc_id) WHERE doc_id = cluster_id"),
+        "stream_clean": q(O.CLEAN_PAGE, O.clusters("cleaned", "CASE WHEN doc_id < (SELECT max(doc_id) FROM documents) / 50 THEN 0 "
+                                                   "WHEN doc_id < (SELECT max(doc_id) FROM documents) / 2 THEN 1 ELSE 2 END"), "SELECT doc_id, text FROM cleaned JOIN clustered USING (doc_id) WHERE doc_id = cluster_id"),
         "stream_word_counts": q(O.WORDS, "SELECT word, n FROM word_counts"),
         "stream_collect": q(O.quality("documents"), f"SELECT doc_id, {O.mask_all('text')} AS text FROM judged WHERE drop_reason IS NULL ORDER BY doc_id LIMIT 100"),
     }

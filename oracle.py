@@ -286,14 +286,15 @@ SPLIT = f"""ranked AS (SELECT doc_id, row_number() OVER (ORDER BY {HASHED.format
     sets AS (SELECT doc_id, CASE WHEN r <= ceil(0.1 * c) THEN 'valid' ELSE 'train' END AS split FROM ranked)"""
 
 
-def windows(length: int) -> str:
-    return BYTES + f""",
+def windows(length: int, tokens: str = BYTES) -> str:
+    """``tokens`` defines byte_tokens(doc_id, ids)."""
+    return tokens + f""",
     win AS (SELECT doc_id, list_concat(ids, list_transform(range({length} + 1), lambda z: CAST(0 AS INTEGER)))[1:{length} + 1] AS ids FROM byte_tokens),
     xy AS (SELECT doc_id, ids[1:{length}] AS x, ids[2:{length} + 1] AS y FROM win)"""
 
 
-def bigrams(length: int, vocab: int = 256) -> str:
-    return windows(length) + "," + SPLIT + f""",
+def bigrams(length: int, vocab: int = 256, tokens: str = BYTES) -> str:
+    return windows(length, tokens) + "," + SPLIT + f""",
     pos_xy AS (SELECT doc_id, unnest(x) AS prev, unnest(y) AS next FROM xy),
     big AS (SELECT prev, next, count(*) AS n FROM pos_xy JOIN sets USING (doc_id) WHERE split = 'train' AND next <> 0 GROUP BY prev, next),
     prev_total AS (SELECT prev, sum(n) AS total FROM big GROUP BY prev),
@@ -303,8 +304,8 @@ def bigrams(length: int, vocab: int = 256) -> str:
       LEFT JOIN prev_total t ON s.prev = t.prev GROUP BY doc_id)"""
 
 
-def losses(length: int, size: int) -> str:
-    return bigrams(length) + f""",
+def losses(length: int, size: int, vocab: int = 256, tokens: str = BYTES) -> str:
+    return bigrams(length, vocab, tokens) + f""",
     placed AS (SELECT doc_id, CAST((row_number() OVER (ORDER BY doc_id) - 1) // {size} AS BIGINT) AS batch
       FROM sets WHERE split = 'valid'),
     loss AS (SELECT batch, sum(nll) / sum(targets) AS loss FROM nll JOIN placed USING (doc_id) GROUP BY batch HAVING sum(targets) > 0)"""

@@ -43,12 +43,11 @@ def fit_bigram(examples: DataFrame, vocab_size: int, ignore: int | None = fixed.
 def token_nll(examples: DataFrame, model: Bigram, ignore: int = fixed.PAD_ID, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep..., nll, targets``: summed cross-entropy and number of targets of each example.
 
-    Pairs are counted within the example first; the model is broadcast only when
-    its size allows.  Examples whose targets are all ignored have zero targets.
+    Pairs meet the model where they are, when its size allows to broadcast it, and
+    only sums are shuffled, one row for an example and task.  Examples whose targets are all ignored have zero targets.
     """
     pairs = _pairs_of(F.col("x"), F.col("y"), ignore)
-    seen = examples.select(*keep, F.inline_outer(pairs)).groupBy(*keep, "prev", "next").agg(
-        F.count("next").alias("times"))
+    seen = examples.select(*keep, F.inline_outer(pairs)).withColumn("times", F.col("next").isNotNull().cast("long"))
     by_pair = model.pairs.select(F.struct("prev", "next").alias("pair"), "n", "p")
     by_prev = model.totals.withColumn("p_unseen", 1 / (F.col("total") + F.lit(model.vocab_size)))
     known = lookup(seen.withColumn("pair", F.struct("prev", "next")), by_pair, "pair", "n", how="left")

@@ -291,8 +291,9 @@ def _links(reps: DataFrame, docs: DataFrame, text: str, key: str, threshold: flo
             continue
 
         # A member is a hub with probability hubs/size; in a small bucket everyone is.
-        draw = F.pmod(F.xxhash64(key, "bucket", F.lit(round_no)), F.col("size"))
-        drawn = materialize(sized.withColumn("is_hub", draw < hubs), "drawn")
+        # The draw is the document's, so that it meets the same hubs in all its buckets.
+        draw = F.pmod(F.xxhash64(key, F.lit(round_no)), F.lit(1 << 30)) * F.col("size")
+        drawn = materialize(sized.withColumn("is_hub", draw < F.lit(hubs << 30)), "drawn")
         hub_rows = drawn.filter("is_hub").select("bucket", F.col(key).alias("hub"), F.col("label").alias("hub_label"))
         met = join_by_count(drawn, hub_rows, "bucket", active, rows_per_task).filter(
             (F.col("label") != F.col("hub_label")) & (~F.col("is_hub") | (F.col("hub") < F.col(key))))
