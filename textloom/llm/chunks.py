@@ -17,9 +17,9 @@ from itertools import repeat
 import numpy as np
 
 # Characters of text that are encoded together.
-GROUP_CHARS = 1_000_000
+GROUP_CHARS = 500_000
 # Chunks a worker remembers.
-LIMIT = 1_200_000
+LIMIT = 300_000
 
 _BEFORE_WORD = re.compile(r" (?=\S)")
 

@@ -50,7 +50,7 @@ def text_features(text: str | None, cache: dict[str, int]) -> np.ndarray:
     words = set(_WORD.findall((text or "").lower()))
     got = list(map(cache.get, words, repeat(-1)))
     if -1 in got:
-        if len(cache) > 500_000:
+        if len(cache) > 200_000:
             cache.clear()
         for w in words:
             if w not in cache:

@@ -35,8 +35,8 @@ GRAM = 24
 # Strings of one context, at most; a longer run is several contexts.
 CONTEXT = 512
 # Contexts a task settles among themselves at a time, and bytes of text sorted at a time.
-TASK_CONTEXTS = 400_000
-BLOCK_BYTES = 3_000_000
+TASK_CONTEXTS = 100_000
+BLOCK_BYTES = 1_000_000
 # A bucket with more contexts than this is split by the whole string.
 CROWDED = 2000
 # All differences modulo 13 occur between two of these.
