@@ -9,7 +9,9 @@ candidates of all tables are merged and ranked by the exact inner product.
 
 Equal vectors are one entry with its smallest ids, which is all a query can
 return of them.  Buckets are dealt out over tasks in slices of bounded size, and
-each slice keeps its best rows for each query, so no task gathers a group.
+each slice keeps its best rows for each query, so no task gathers a group.  A
+query first visits its own bucket of each table: the score of its k-th best
+there is a bound, and the perturbed buckets keep only rows that reach it.
 """
 
 from __future__ import annotations
@@ -185,7 +187,10 @@ def _best(listed: DataFrame, k: int) -> DataFrame:
 
 
 def _nearest(entries: DataFrame, asked: DataFrame, index: Index, k: int, s: Settings) -> DataFrame:
-    """``query, entry, score``: candidates of all tables, the best ``k`` entries of each query and slice."""
+    """``query, entry, score``: candidates of all tables, the best ``k`` entries of each query and slice.
+
+    Rows below the ``k``-th best score of the query's own buckets are left out.
+    """
     n_tables = s.tables
 
     def to_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,20 +207,23 @@ def _nearest(entries: DataFrame, asked: DataFrame, index: Index, k: int, s: Sett
                 [pa.array(np.full(len(keys), t, np.int32)), pa.array(np.ascontiguousarray(keys[:, t])), batch.column(0), batch.column(1)],
                 ["tab", "bucket", "entry", "v"])
 
-    def to_probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                x = index.lifted(_matrix(part.column(1)), True)
-                for t in range(n_tables):
-                    row, _, key = probed(index.slots(x, t), index.probes)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(row), t, np.int32)), pa.array(key), part.column(0).take(pa.array(row))],
-                        ["tab", "bucket", "query"])
+    def to_probes(own: bool):
+        """The queries' own buckets, or the perturbed ones."""
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for at in range(0, batch.num_rows, 256):
+                    part = batch.slice(at, 256)
+                    x = index.lifted(_matrix(part.column(1)), True)
+                    for t in range(n_tables):
+                        row, place, key = probed(index.slots(x, t), 1 if own else index.probes)
+                        left = own | (place > 0)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(left.sum(), t, np.int32)), pa.array(key[left]), part.column(0).take(pa.array(row[left]))],
+                            ["tab", "bucket", "query"])
+        return run
 
     placed = materialize(entries.select("entry", "v").mapInArrow(
         to_buckets, "tab int, bucket long, entry long, v array<double>"), "buckets")
-    probes = asked.select("query", "v").mapInArrow(to_probes, "tab int, bucket long, query long")
     sizes = materialize(placed.groupBy("tab", "bucket").agg(F.count(F.lit(1)).alias("n")), "bucket-sizes")
     slices = F.ceil(F.col("n") / s.slice_rows).cast("int")
     groups = int(max(1, (sizes.agg(F.sum("n")).first()[0] or 0) // s.group_rows + 1)) * 4
@@ -224,16 +232,28 @@ def _nearest(entries: DataFrame, asked: DataFrame, index: Index, k: int, s: Sett
     cut = sizes.select("tab", "bucket", slices.alias("slices"))
     left = placed.join(cut.filter("slices > 1"), ["tab", "bucket"], "left").withColumn(
         "slice", F.when(F.col("slices") > 1, F.pmod(F.xxhash64("entry"), F.col("slices"))).otherwise(0).cast("int"))
-    # A query goes to a group once, with the list of its buckets there.
-    right = (
-        probes.join(cut, ["tab", "bucket"]).withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
-        .select(where, "query", F.struct(*key).alias("key")).groupBy("grp", "query").agg(F.collect_list("key").alias("keys"))
-        .join(asked, "query")
-    )
-    return (
-        left.select(where, *key, "entry", "v").groupBy("grp").cogroup(right.groupBy("grp"))
-        .applyInPandas(lambda a, b: _rank_group(a, b, k), "query long, entry long, score double")
-    )
+
+    def visit(own: bool, asking: DataFrame) -> DataFrame:
+        probes = asking.select("query", "v").mapInArrow(to_probes(own), "tab int, bucket long, query long")
+        # A query goes to a group once, with the list of its buckets there.
+        right = (
+            probes.join(cut, ["tab", "bucket"]).withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+            .select(where, "query", F.struct(*key).alias("key")).groupBy("grp", "query").agg(F.collect_list("key").alias("keys"))
+            .join(asking, "query")
+        )
+        return (
+            left.select(where, *key, "entry", "v").groupBy("grp").cogroup(right.groupBy("grp"))
+            .applyInPandas(lambda a, b: _rank_group(a, b, k), "query long, entry long, score double")
+        )
+
+    first = materialize(visit(True, asked.withColumn("bound", F.lit(float("-inf")))), "own-buckets")
+    scores = first.groupBy("query", "entry").agg(F.max("score").alias("score")).groupBy("query").agg(
+        F.sort_array(F.collect_list("score"), asc=False).alias("x"))
+    # A sum may differ in its last digits from one block to another; the bound leaves room for that.
+    kth = F.try_element_at("x", F.lit(k))
+    bounds = scores.select("query", (kth - F.abs(kth) * 1e-9).alias("bound"))
+    bounded = asked.join(bounds, "query", "left").fillna(float("-inf"), ["bound"])
+    return first.unionByName(visit(False, bounded))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -253,13 +273,14 @@ def _top(query: np.ndarray, entry: np.ndarray, score: np.ndarray, k: int) -> tup
 
 
 def _rank_group(index_rows: pd.DataFrame, probe_rows: pd.DataFrame, k: int) -> pd.DataFrame:
-    """Exact inner products within the buckets of a group, the best ``k`` of each query."""
+    """Exact inner products within the buckets of a group, the best ``k`` of each query that reach its bound."""
     empty = pd.DataFrame({"query": np.empty(0, np.int64), "entry": np.empty(0, np.int64), "score": np.empty(0)})
     if index_rows.empty or probe_rows.empty:
         return empty
     held = index_rows.groupby(["tab", "bucket", "slice"], sort=False).indices
     entry, vectors = index_rows["entry"].to_numpy(), np.stack(index_rows["v"].to_numpy())
     query, asked = probe_rows["query"].to_numpy(), np.stack(probe_rows["v"].to_numpy())
+    bound = probe_rows["bound"].to_numpy()[:, None]
     visits: dict[tuple, list[int]] = {}
     for i, keys in enumerate(probe_rows["keys"]):
         for key in keys:
@@ -273,8 +294,9 @@ def _rank_group(index_rows: pd.DataFrame, probe_rows: pd.DataFrame, k: int) -> p
             some = np.array(rows[at:at + 128])
             score = asked[some] @ x.T
             least = -np.partition(-score, k - 1, axis=1)[:, k - 1:k] if score.shape[1] > k else -np.inf
-            r, c = np.nonzero(score >= least)
-            out.append(_top(some[r], e[c], score[r, c], k))
+            r, c = np.nonzero(score >= np.maximum(least, bound[some]))
+            if len(r):
+                out.append(_top(some[r], e[c], score[r, c], k))
         if sum(len(q) for q, _, _ in out) > 2_000_000:
             out = [_top(*(np.concatenate(x) for x in zip(*out)), k)]
     if not out:
