@@ -216,6 +216,34 @@ def test_repeats_in_spark(spark):
     assert sorted((r.doc_id or 0, r.n_removed) for r in suffix_blocks.digests(twice).collect()) == [(0, 0), (0, 0), (1, 147), (1, 147)]
 
 
+@pytest.mark.parametrize("crowded", [0, 2000])
+def test_repeated_rows_of_one_task_do_not_cover_each_other(monkeypatch, crowded):
+    import pyarrow as pa
+
+    monkeypatch.setattr(suffix_blocks, "CROWDED", crowded)
+    rng = random.Random(8)
+    own = "".join(rng.choice("abcdefghij ") for _ in range(400))
+    ids, texts = [5, 5, 5, 9, 9], [own] * 3 + [own[100:350] + "x" * 150] * 2
+    found = suffix_blocks._settled([(*(c := suffix_blocks.contexts(t.encode())), [i] * len(c[0])) for i, t in zip(ids, texts)]).to_pylist()
+    assert len({(r["doc_id"], r["start"]) for r in found}) == len(found)
+    assert not [r for r in found if r["doc_id"] == 5 and r["kind"] == suffix_blocks.COVERED]
+    wanted = [[{"kind": suffix_blocks.SPLIT, "bucket": 0, "start": 0, "n": 301}]] * 5
+    cut = suffix_blocks._segments(pa.RecordBatch.from_arrays([pa.array(ids), pa.array(texts), pa.array(wanted)], ["doc_id", "text", "wanted"])).to_pylist()
+    assert len(cut) == len({(r["doc_id"], r["start"]) for r in cut}) == 602
+    hit = plain_covered({5: own, 9: texts[3]})
+    assert {(r["doc_id"], r["start"]) for r in cut if r["kind"] == suffix_blocks.COVERED} == {(9, p) for p in range(301) if set(range(p, p + 100)) <= hit[9]}
+
+
+def test_repeated_rows_of_one_partition(spark):
+    rng = random.Random(10)
+    docs = {i: "".join(rng.choice("abcdefghij ") for _ in range(300)) for i in range(3)}
+    docs[3] = docs[1] + docs[0][:150]
+    table = spark.createDataFrame([(i, t) for i, t in docs.items()] * 2, "doc_id long, text string").coalesce(1)
+    rows = suffix_blocks.digests(table).collect()
+    assert len(rows) == 8
+    check_digests(docs, rows)
+
+
 def test_registered_repeats(spark, data):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{data}/documents.parquet").collect()}
     check_digests(docs, queries.op7_suffix_dedup(spark, data).collect())

@@ -136,6 +136,9 @@ def _settled(held: list[tuple]) -> pa.RecordBatch:
     order = np.lexsort((start, doc, content, bucket))
     bucket, content, start, n, again, doc = (c[order] for c in (bucket, content, start, n, again, doc))
     same = np.r_[False, (bucket[1:] == bucket[:-1]) & (content[1:] == content[:-1])]
+    # Rows that stand there twice are the same occurrence; it is kept once.
+    once = ~(same & np.r_[False, (doc[1:] == doc[:-1]) & (start[1:] == start[:-1])])
+    bucket, content, start, n, again, doc, same = (c[once] for c in (bucket, content, start, n, again, doc, same))
     # What is settled is dealt out by document.
     bucket = np.where(same, doc, bucket)
     return _batch(np.where(same, COVERED, SORT).astype(np.int32), bucket, content, doc, start, n, again)
@@ -223,7 +226,8 @@ def _segments(batch: pa.RecordBatch) -> pa.RecordBatch:
                     key = xxhash.xxh3_64_intdigest(s)
                     strings.append((key - (1 << 64) if key >> 63 else key, s, i, p))
     before = None
-    for key, s, i, p in sorted(strings):
+    # A document read twice gives the same strings again; each occurrence counts once.
+    for key, s, i, p in sorted(set(strings)):
         same = before is not None and before == s
         out.append((COVERED, i, i, p, 1, b"") if same else (SORT, key, i, p, 1, s))
         before = s
