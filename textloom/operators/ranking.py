@@ -2,15 +2,35 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textloom.session import materialize
+
 HASH_DIGITS = 4
 RANGE_BUCKETS = 1000
+# Rows that a bucket of a ranking is meant for.
+BUCKET_ROWS = 1_000_000
+
+
+def rank_rows(df: DataFrame, order: list[Column], rank: str = "rank", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """Number the rows of a narrow table from 1 in the given order.
+
+    The rows are dealt by ranges of the order to as many buckets as they need and
+    numbered within them; a bucket's offset is the size of those before it, one row
+    for a bucket.  When equal rows may be many, the order must tell them apart, as
+    they share a bucket.
+    """
+    spread = materialize(df, "to-rank")
+    buckets = max(1, math.ceil(spread.count() / bucket_rows))
+    dealt = materialize(spread.repartitionByRange(buckets, *order).withColumn("__bucket", F.spark_partition_id()), "ranges")
+    return _number(dealt, order, rank)
 
 
-def _number(df: DataFrame, order: list[str], rank: str) -> DataFrame:
+def _number(df: DataFrame, order: list[str | Column], rank: str) -> DataFrame:
     """Rows carry ``__bucket``, ascending with ``order``; number them from 1.
 
     A bucket's offset is the size of the buckets before it.  The offsets are one
