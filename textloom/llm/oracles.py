@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from textloom.llm import cascade, chat_states, secret_index
+from textloom.llm import cascade, chat_states, divergence, resample, secret_index, url_filter
 
 _WORD, _SPACE = r"[^\x20\x09-\x0D]+", r"\x20\x09-\x0D"
 
@@ -68,6 +68,80 @@ def suffix_dedup() -> str:
     FROM t JOIN k USING (doc_id) LEFT JOIN n USING (doc_id)"""
 
 
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def divergence_audit() -> str:
+    def share(n: str, total: str) -> str:
+        return f"1 + CAST({divergence.UNIT} AS HUGEINT) * ({n} + 2) // ({total} + 2 * v)"
+
+    return rf"""
+    WITH t AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+    w AS (SELECT id, lang, source, unnest(regexp_extract_all({_LOWER.format('text')}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM t),
+    k AS (SELECT lang, term, count(*) AS total FROM w GROUP BY ALL HAVING count(DISTINCT id) >= {divergence.MIN_DOCS}),
+    l AS (SELECT lang, count(*) AS v, sum(total) AS lang_n FROM k GROUP BY lang),
+    c AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN k USING (lang, term) GROUP BY ALL),
+    g AS (SELECT DISTINCT lang, source FROM t),
+    s AS (SELECT g.lang, g.source, coalesce(any_value(v), 0) AS v, coalesce(any_value(lang_n), 0) AS lang_n, coalesce(sum(c.n), 0) AS group_n
+          FROM g LEFT JOIN l USING (lang) LEFT JOIN c USING (lang, source) GROUP BY g.lang, g.source),
+    p AS (SELECT s.lang, s.source, term, coalesce(n, 0) AS n, {share('coalesce(n, 0)', 'group_n')} AS p, {share('total', 'lang_n')} AS q
+          FROM s JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+    d AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+          FROM p AS a JOIN p AS b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL),
+    r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+          FROM g AS a JOIN g AS b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN d ON d.lang = a.lang AND d.source = a.source AND d.item = b.source
+          UNION ALL SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // (p + q) AS BIGINT) FROM p WHERE n > 0 AND p > q)
+    SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INT) AS rank FROM r
+    QUALIFY part = 'pair' OR rank <= {divergence.TOP_TERMS}"""
+
+
+def resampling() -> str:
+    """For features of one word.  The CRC-32 goes byte by byte, four bits at a time."""
+    s = resample.DEFAULT
+    nibbles = ", ".join(str(_crc_of_nibble(i)) for i in range(16))
+    return rf"""
+    WITH t AS (SELECT row_number() OVER () AS id, doc_id, 0 AS part, text FROM documents
+               UNION ALL SELECT row_number() OVER (), NULL, 1, text FROM benchmark),
+    w AS (SELECT part, id, unnest(regexp_extract_all({_LOWER.format('text')}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM t),
+    n AS (SELECT part, id, word, count(*) AS n FROM w GROUP BY ALL),
+    h AS (SELECT word, hex(encode(word)) AS h FROM (SELECT DISTINCT word FROM n)),
+    y AS (SELECT word, list_transform(range(0, length(h), 2), lambda i: CAST('0x' || substr(h, i + 1, 2) AS BIGINT)) AS bytes FROM h),
+    x AS (SELECT word, xor(list_reduce(list_prepend(4294967295::BIGINT, bytes), lambda c, b:
+            xor(xor(xor(c, b) >> 4, [{nibbles}][1 + (xor(c, b) & 15)]) >> 4,
+                [{nibbles}][1 + (xor(xor(c, b) >> 4, [{nibbles}][1 + (xor(c, b) & 15)]) & 15)])), 4294967295::BIGINT) % {s.buckets} AS bucket FROM y),
+    b AS (SELECT bucket, sum(n) FILTER (WHERE part = 0) AS s, sum(n) FILTER (WHERE part = 1) AS t FROM n JOIN x USING (word) GROUP BY bucket),
+    z AS (SELECT coalesce(sum(s), 0) AS s, coalesce(sum(t), 0) AS t FROM b),
+    g AS (SELECT bucket, CAST(floor({s.scale} * ln((coalesce(b.t, 0) + 1)::DOUBLE * (z.s + {s.buckets})
+            / ((coalesce(b.s, 0) + 1)::DOUBLE * (z.t + {s.buckets})))) AS BIGINT) AS gain FROM b, z),
+    d AS (SELECT id, sum(n) AS n_features, sum(n * gain) AS weight FROM n JOIN x USING (word) JOIN g USING (bucket) WHERE part = 0 GROUP BY id),
+    e AS (SELECT doc_id, CAST(coalesce(n_features, 0) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+            CAST('0x' || substr(sha256('{s.seed}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h
+          FROM t LEFT JOIN d USING (id) WHERE part = 0),
+    f AS (SELECT doc_id, n_features, weight, weight + CAST(floor(-{s.scale} * ln(-ln((h + 0.5) / 4294967296.0))) AS BIGINT) AS score,
+            n_features >= {s.min_words} AS able FROM e),
+    r AS (SELECT *, row_number() OVER (PARTITION BY able ORDER BY score DESC, doc_id) AS place, count(*) FILTER (WHERE able) OVER () AS many FROM f)
+    SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= {s.percent} * many // 100 THEN place END AS rank FROM r"""
+
+
+def _crc_of_nibble(i: int) -> int:
+    for _ in range(4):
+        i = (i >> 1) ^ (0xEDB88320 if i & 1 else 0)
+    return i
+
+
+def url_verdicts() -> str:
+    rules = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in url_filter.RULES)
+    return rf"""
+    WITH r(rule_host, rule_path, verdict) AS (VALUES {rules}),
+    u AS (SELECT row_number() OVER () AS id, page_id, CASE WHEN contains(url, '://') THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages),
+    h AS (SELECT id, page_id, {_LOWER.format("regexp_extract(rest, '^([^/?#]*)([^?#]*)', 1)")} AS host,
+            regexp_extract(rest, '^([^/?#]*)([^?#]*)', 2) AS path FROM u)
+    SELECT page_id, host, path, rule_host || rule_path AS rule, coalesce(verdict, 'allow') AS verdict
+    FROM h LEFT JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+    QUALIFY row_number() OVER (PARTITION BY id ORDER BY length(rule_host) + length(rule_path) DESC, length(rule_host) DESC) = 1"""
+
+
 def chat(say: str) -> str:
     # By the default template, for roles that need no escape.
     follows = ", ".join(f"('{a}', '{b}')" for a, roles in chat_states.DEFAULT.follows.items() for b in sorted(roles))

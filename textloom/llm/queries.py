@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe_rounds, cascade, chat_states, multiprobe, oracles, packing, pu_toxicity, secret_index, simhash_grid, suffix_blocks, token_trees
+from textloom.llm import (bpe_rounds, cascade, chat_states, divergence, multiprobe, oracles, packing, pu_toxicity, resample,
+                          secret_index, simhash_grid, suffix_blocks, token_trees, url_filter)
 
 # Documents whose CRC-32 has this remainder are held out from learning.
 HELD_OUT = 2
@@ -101,6 +102,19 @@ def op10_chat(spark: SparkSession, sf: str) -> DataFrame:
     return chat_states.digests(turns.unionByName(own))
 
 
+def op11_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf, "documents"))
+
+
+def op12_resample(spark: SparkSession, sf: str) -> DataFrame:
+    return resample.rank(documents(spark, sf), _table(spark, sf, "benchmark"))
+
+
+def op13_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    rules = spark.createDataFrame(list(url_filter.RULES), "host string, path string, verdict string")
+    return url_filter.judge(_table(spark, sf, "pages").select("page_id", "url"), rules).drop("url")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: fn for name, fn in globals().items() if name.startswith("op")}
 
@@ -108,4 +122,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     """The others are tested against brute force, the libraries, round trips or held-out labels."""
     return {"op5_quality_rules": oracles.quality_rules(), "op6_secret_scans": oracles.secret_scans(),
-            "op7_suffix_dedup": oracles.suffix_dedup(), "op10_chat": oracles.chat(SAY)}
+            "op7_suffix_dedup": oracles.suffix_dedup(), "op10_chat": oracles.chat(SAY),
+            "op11_divergence": oracles.divergence_audit(), "op12_resample": oracles.resampling(),
+            "op13_url_filter": oracles.url_verdicts()}
