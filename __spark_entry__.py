@@ -30,7 +30,7 @@ if _found and _found.origin and find_spec("corpus_pipeline"):
 else:
     llm = None
 
-LENGTH, BATCH, MERGES, BUDGET, CHUNK = 512, 16, 24, 400, 250
+LENGTH, BATCH, MERGES, BUDGET, CHUNK = 512, 16, 200, 400, 250
 
 
 def _table(name: str, key: str):
@@ -616,8 +616,8 @@ def oracle_sql() -> dict[str, str]:
     words_sql = (f"SELECT doc_id, CAST(len(w) AS BIGINT) AS n, array_to_string(w, ' ') AS words "
                  f"FROM (SELECT doc_id, regexp_extract_all(text, '{O.TOKEN}') AS w FROM documents)")
     trained = O.training(MERGES)
-    vocab = O.vocabulary(MERGES, fixed.END_OF_TEXT)
-    coded = [*trained, vocab, O.encoded(MERGES)]
+    vocab = O.vocabulary(fixed.END_OF_TEXT)
+    coded = [*trained, vocab, O.encoded()]
     out = {
         "read_urls": "SELECT page_id AS url_rank, url FROM pages WHERE trim(url) <> ''",
         "read_url_files": "SELECT row_number() OVER (ORDER BY page_id) - 1 AS url_rank, url FROM pages WHERE trim(url) <> ''",
@@ -686,13 +686,13 @@ def oracle_sql() -> dict[str, str]:
         "word_counts": q(O.WORDS, "SELECT word, n FROM word_counts"),
         "pair_counts": q(O.WORDS, O.W0, O.pairs("w0", "p0"), "SELECT pair, n FROM p0"),
         "best_pair": q(O.WORDS, O.W0, O.pairs("w0", "p0"), O.best("p0", "b0"), "SELECT pair, n FROM b0"),
-        "apply_merge": q(*O.training(1), "SELECT word, s AS symbols, n FROM w1"),
-        "bpe_train": q(*trained, O.merge_rows(MERGES)),
-        "bpe_restart": q(*O.training(MERGES // 2), O.merge_rows(MERGES // 2, MERGES // 2)),
-        "tokenizer_merges": q(*trained, f"{O.merge_rows(MERGES)} UNION ALL SELECT {MERGES}, '{fixed.END_OF_TEXT.encode().hex()}', '{fixed.BYTE_TOKENS}'"),
+        "apply_merge": q(*O.training(1), "SELECT word, s AS symbols, n FROM trained"),
+        "bpe_train": q(*trained, O.merge_rows()),
+        "bpe_restart": q(*O.training(MERGES // 2), O.merge_rows(MERGES // 2)),
+        "tokenizer_merges": q(*trained, f"{O.merge_rows()} UNION ALL SELECT {MERGES}, '{fixed.END_OF_TEXT.encode().hex()}', '{fixed.BYTE_TOKENS}'"),
         "trained_perplexity": q(*coded, O.losses(LENGTH, BATCH, fixed.BYTE_TOKENS + 1 + MERGES, "byte_tokens AS (SELECT doc_id, ids FROM coded)"),
                                 "SELECT round(avg(loss), 6) AS loss, round(exp(avg(loss)), 6) AS perplexity FROM loss"),
-        "bpe_resume": q(*trained, O.merge_rows(MERGES)),
+        "bpe_resume": q(*trained, O.merge_rows()),
         "tokenizer_tables": q(*trained, vocab, "SELECT id, hex FROM vocab"),
         "bpe_encode": q(*coded, f"SELECT doc_id, CAST(len(ids) AS BIGINT) AS n, {joined('ids')} AS ids FROM coded"),
         "bpe_decode": "SELECT doc_id, text FROM documents",

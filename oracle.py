@@ -239,41 +239,38 @@ def best(source: str, name: str) -> str:
     return f"{name} AS MATERIALIZED (SELECT pair, n FROM {source} ORDER BY n DESC, pair DESC LIMIT 1)"
 
 
-def merge(words: str, pair: str, name: str) -> str:
-    return (f"{name} AS MATERIALIZED (SELECT word, replace(s, pair, replace(pair, ' .', '')) AS s, {words}.n "
-            f"FROM {words}, {pair})")
-
-
 def training(merges: int) -> list[str]:
-    """CTEs b0, b1, ... with one merge each and w0, w1, ... with the words after it."""
-    steps = [WORDS, W0]
-    for k in range(merges):
-        steps += [pairs(f"w{k}", f"p{k}"), best(f"p{k}", f"b{k}"), merge(f"w{k}", f"b{k}", f"w{k + 1}")]
-    return steps
-
-
-def merge_rows(merges: int, first_rank: int = 0) -> str:
+    """CTEs rounds(k, word, s, n, pair), the words after k merges with the last one, and trained(word, s, n)."""
+    return [WORDS, W0, f"""rounds AS (
+      SELECT 0 AS k, word, s, n, CAST(NULL AS VARCHAR) AS pair FROM w0 WHERE contains(s, ' .')
+      UNION ALL SELECT r.k + 1, r.word, replace(r.s, b.pair, replace(b.pair, ' .', '')), r.n, b.pair
+      FROM rounds AS r, (SELECT pair FROM (SELECT '.' || l[i] || ' .' || l[i + 1] || ' ' AS pair, n
+          FROM (SELECT l, n, unnest(range(1, len(l))) AS i FROM (SELECT string_split(replace(trim(s), '.', ''), ' ') AS l, n FROM rounds)))
+        GROUP BY pair ORDER BY sum(n) DESC, pair DESC LIMIT 1) AS b WHERE r.k < {merges})""",
+            "merged AS MATERIALIZED (SELECT k, any_value(pair) AS pair FROM rounds WHERE k > 0 GROUP BY k)",
+            "trained AS MATERIALIZED (SELECT word, s, n FROM rounds WHERE k = (SELECT max(k) FROM rounds) "
+            "UNION ALL SELECT word, s, n FROM w0 WHERE NOT contains(s, ' .'))"]
+
+
+def merge_rows(first_rank: int = 0) -> str:
     """rank, left, right as hex, from the CTEs of training()."""
-    rows = [f"SELECT CAST({first_rank + k} AS INTEGER) AS rank, pair FROM b{k}" for k in range(merges)]
-    return (r"SELECT rank, lower(regexp_extract(pair, '^\.([0-9A-F]+) \.([0-9A-F]+) $', 1)) AS left_hex, "
-            r"lower(regexp_extract(pair, '^\.([0-9A-F]+) \.([0-9A-F]+) $', 2)) AS right_hex FROM ("
-            + " UNION ALL ".join(rows) + ")")
+    return (rf"SELECT CAST({first_rank} + k - 1 AS INTEGER) AS rank, lower(regexp_extract(pair, '^\.([0-9A-F]+) \.([0-9A-F]+) $', 1)) AS left_hex, "
+            r"lower(regexp_extract(pair, '^\.([0-9A-F]+) \.([0-9A-F]+) $', 2)) AS right_hex FROM merged")
 
 
-def vocabulary(merges: int, special: str) -> str:
+def vocabulary(special: str) -> str:
     """CTE vocab(id, hex): bytes, the special token, then merges."""
-    rows = [f"SELECT {257 + k}, regexp_replace(pair, '[. ]', '', 'g') FROM b{k}" for k in range(merges)]
     return ("vocab AS (SELECT CAST(id AS INTEGER) AS id, hex FROM (SELECT unnest(range(256)) AS id, "
             "upper(printf('%02x', unnest(range(256)))) AS hex UNION ALL SELECT 256, hex(encode('" + special + "')) "
-            "UNION ALL " + " UNION ALL ".join(rows) + "))")
+            "UNION ALL SELECT 256 + k, regexp_replace(pair, '[. ]', '', 'g') FROM merged))")
 
 
-def encoded(merges: int) -> str:
+def encoded() -> str:
     """CTE coded(doc_id, ids): words spelled in final symbols, looked up, put in order."""
-    return f"""
+    return """
     word_ids AS (SELECT word, list(id ORDER BY p) AS ids FROM (
       SELECT word, unnest(l) AS hex, unnest(range(len(l))) AS p
-      FROM (SELECT word, string_split(replace(trim(s), '.', ''), ' ') AS l FROM w{merges})) JOIN vocab USING (hex) GROUP BY word),
+      FROM (SELECT word, string_split(replace(trim(s), '.', ''), ' ') AS l FROM trained)) JOIN vocab USING (hex) GROUP BY word),
     coded AS (SELECT doc_id, flatten(list(ids ORDER BY pos)) AS ids FROM (
       SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS pos FROM tok) JOIN word_ids USING (word) GROUP BY doc_id)"""
 

@@ -1,4 +1,5 @@
 import random
+import time
 from collections import Counter
 
 import pytest
@@ -6,7 +7,7 @@ import regex
 from pyspark.sql import functions as F
 
 from textloom import fixed
-from textloom.operators import bpe
+from textloom.operators import bpe, merging
 from textloom.sources import tokens as token_io
 
 SPLIT = regex.compile(r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -75,51 +76,96 @@ def test_train_golden(docs_of):
     assert model.specials == {fixed.END_OF_TEXT: 256} and max(model.tokens) == 264
 
 
-def simulate_rounds(words, wanted, top):
-    """Batched merging on plain dictionaries, with the package's choice of merges."""
-    symbols = {tuple(bytes([b]) for b in w.encode()): n for w, n in words.items()}
-    known, merges = {bytes([i]) for i in range(256)}, []
-    while len(merges) < wanted:
-        pairs = Counter()
-        for s, n in symbols.items():
-            for p in zip(s, s[1:]):
-                pairs[p] += n
-        ranked = sorted(pairs.items(), key=lambda kv: (kv[1], kv[0]), reverse=True)
-        if not ranked:
-            break
-        for left, right in bpe.independent_merges(ranked[:top], len(ranked) < top, known, wanted - len(merges)):
-            merges.append((left, right))
-            known.add(left + right)
-            old, new = bpe._symbol(left) + bpe._symbol(right), bpe._symbol(left + right)
-            symbols = {
-                tuple(bytes.fromhex(x[1:]) for x in "".join(map(bpe._symbol, s)).replace(old, new).split()): n
-                for s, n in symbols.items()}
-    return merges
+def plain_merges(symbols, steps):
+    """Each step in its turn, from left to right."""
+    for pair, joined in steps:
+        out, i = [], 0
+        while i < len(symbols):
+            hit = tuple(symbols[i:i + 2]) == pair
+            out.append(joined if hit else symbols[i])
+            i += 2 if hit else 1
+        symbols = out
+    return symbols
 
 
-@pytest.mark.parametrize("seed", range(60))
-def test_batched_merges_equal_one_at_a_time(seed):
+@pytest.mark.parametrize("seed", range(40))
+def test_merges_in_turn_and_their_changes(seed):
     rnd = random.Random(seed)
-    letters = "abcde"[: rnd.choice([2, 3, 5])]
-    words = {"".join(rnd.choice(letters) for _ in range(rnd.randint(1, 9))): rnd.choice([1, 1, 2, 5, 9])
-             for _ in range(rnd.randint(1, 40))}
-    expected = one_at_a_time(words, 60)
-    assert simulate_rounds(words, 60, 10_000) == expected
-    assert simulate_rounds(words, 60, 6) == expected
-
-
-def test_same_bytes_built_twice():
-    # "abc" is built from a+bc and from ab+c; the second is only ever taken alone.
+    steps = [((rnd.randint(0, 5), rnd.randint(0, 5)), rnd.choice([0, 1, 6, 7, 8])) for _ in range(12)]
+    options = {}
+    for order, (pair, joined) in enumerate(steps):
+        options.setdefault(pair, []).append((order, joined))
+    changes, since = {}, rnd.randint(0, 4)
+    before, after = Counter(), Counter()
+    for _ in range(10):
+        word, n = [rnd.randint(0, 3) for _ in range(rnd.randint(0, 30))], rnd.randint(1, 5)
+        got = merging.merge_symbols(word, options, True, n, since, changes)
+        assert got == plain_merges(word, steps)
+        for counts, s in ((before, plain_merges(word, steps[:since])), (after, got)):
+            for p in zip(s, s[1:]):
+                counts[p] += n
+    by_pair = Counter()
+    for (step, left, right), d in changes.items():
+        assert step >= since
+        by_pair[left, right] += d
+    assert {p: d for p, d in by_pair.items() if d} == {p: after[p] - before[p] for p in {*before, *after} if after[p] != before[p]}
+
+
+def test_forecast_takes_merges_back():
+    rnd = random.Random(1)
+    words = [([rnd.randint(0, 4) for _ in range(rnd.randint(1, 12))], rnd.randint(1, 9)) for _ in range(50)]
+    steps = [((0, 1), 5), ((5, 2), 6), ((3, 3), 7), ((6, 7), 8)]
+    tried, wanted = merging.Forecast(words), merging.Forecast(words)
+    for pair, joined in steps:
+        tried.merge(pair, joined)
+    tried.keep(2)
+    for pair, joined in steps[:2]:
+        wanted.merge(pair, joined)
+    assert tried.words == wanted.words and +tried.counts == +wanted.counts
+    assert tried.merge(*steps[2]) == wanted.merge(*steps[2])
+
+
+def test_ranking_is_by_count_then_bytes():
+    names = [b"a", b"ab", b"b", b"abc"]
+    r = merging.Ranking({(0, 0): 5, (1, 0): 5, (0, 2): 5, (3, 0): 5, (2, 2): 4}, names)
+    order = []
+    while pair := r.best():
+        order.append(pair)
+        r.add(pair, -r.counts[pair])
+    assert order == [(3, 0), (1, 0), (0, 2), (0, 0), (2, 2)]
+
+
+def test_same_bytes_built_twice(spark):
+    # "abc" is built from a+bc and from ab+c.
     words = {"abc": 50, "abx": 30, "bcy": 45, "abcd": 20, "zab": 60, "cq": 3}
-    for top in (4, 1000):
-        assert simulate_rounds(words, 30, top) == one_at_a_time(words, 30)
-
-
-def test_train_on_documents_equals_one_at_a_time(spark, data):
-    df = spark.read.parquet(f"{data}/documents.parquet").filter("doc_id < 20")
+    df = spark.createDataFrame([(0, " ".join(w for w, n in words.items() for _ in range(n)))], "doc_id int, text string")
+    counts = counts_of([df.first()["text"]])
+    for top, sample in ((4, 2), (1000, 1000)):
+        model = bpe.train_bpe(df, 256 + 40, [], top_pairs=top, sample_words=sample)
+        # A pair may come twice; the later rank holds.
+        want = one_at_a_time(counts, 40)
+        assert model.merges == {p: k for k, p in enumerate(want)} and list(model.tokens.values())[256:] == [a + b for a, b in want]
+
+
+@pytest.mark.parametrize("docs,merges,top,sample", [(9, 1000, 10_000, 100_000), (20, 100, 60, 50), (1, 10**6, 300, 100)])
+def test_train_on_documents_equals_one_at_a_time(spark, data, docs, merges, top, sample):
+    df = spark.read.parquet(f"{data}/documents.parquet").filter(f"doc_id < {docs}")
     texts = [r.text for r in df.collect()]
-    model = bpe.train_bpe(df, 256 + 30, [])
-    assert list(model.merges) == one_at_a_time(counts_of(texts), 30)
+    model = bpe.train_bpe(df, 256 + merges, [], top_pairs=top, sample_words=sample)
+    want = one_at_a_time(counts_of(texts), merges)
+    assert model.merges == {p: k for k, p in enumerate(want)}
+    assert list(model.tokens.values())[256:] == [a + b for a, b in want]
+
+
+def test_long_words_take_n_log_n(docs_of):
+    rnd = random.Random(5)
+    long = "".join(rnd.choice("abcd") for _ in range(200_000))
+    model = bpe.train_bpe(docs_of([long[:3000]]), 256 + 60, [])
+    start = time.perf_counter()
+    ids = bpe.encode(docs_of([long]), model).first()["input_ids"]
+    assert time.perf_counter() - start < 20
+    assert b"".join(model.tokens[i] for i in ids) == long.encode()
+    assert bpe.encode(docs_of([long[:4000]]), model).first()["input_ids"] == plain_encode(long[:4000], model)
 
 
 def test_resume(docs_of):

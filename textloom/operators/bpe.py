@@ -10,21 +10,26 @@ strings they stand for.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections import Counter, defaultdict
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom import fixed
-from textloom.operators.keep import keep
+from textloom.operators.merging import Forecast, Pair, Ranking, merge_symbols
 from textloom.session import materialize
 
-# Pairs looked at in one training round, and merges kept as an expression before
-# the words are written out again.
-TOP_PAIRS = 4096
-PENDING_MERGES = 48
+# Pairs and words that the driver holds in training, and symbols of such a word.
+TOP_PAIRS = 10_000
+FIRST_SAMPLE, SAMPLE_WORDS, SAMPLE_SYMBOLS = 20_000, 100_000, 100
+# Merges tried in the first and in the largest round, and merges taken before the words are written again.
+FIRST_BATCH, LARGEST_BATCH, PENDING_MERGES = 64, 1024, 256
+# Counts a task holds before it passes them on.
+HELD_PAIRS = 300_000
 # Words whose ids a worker remembers.
 MEMO_WORDS = 500_000
 
@@ -127,46 +132,227 @@ def best_pairs(pairs: DataFrame, k: int = 1) -> DataFrame:
     return pairs.orderBy(F.desc("n"), F.desc("pair")).limit(k)
 
 
-def independent_merges(ranked: list[tuple[tuple[bytes, bytes], int]], complete: bool,
-                       known: set[bytes], limit: int) -> list[tuple[bytes, bytes]]:
-    """Leading pairs that one-at-a-time training would take next, in that order.
+def _binary_pairs(words: DataFrame, names: list[bytes]) -> DataFrame:
+    """``left, right, n`` of the pairs in ``symbols array<int>, n``, as bytes; tasks add up first."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: Counter = Counter()
 
-    ``ranked`` holds the most frequent pairs in merge order.  The first is always
-    right.  A later one is right as well when it shares no symbol with those taken
-    (so its count is unchanged) and is more frequent than any pair the taken merges
-    can create.  A created pair contains a merged symbol next to a neighbour of it,
-    hence occurs at most as often as the old pair of that neighbour, and as the
-    merge itself.  Pairs missing from ``ranked`` occur at most as often as its last.
-    A merge whose bytes already are a symbol could make an existing pair more
-    frequent, so it is only ever taken alone.
+        def passed() -> pa.RecordBatch:
+            sides = [pa.array([names[p[k]] for p in sums], pa.binary()) for k in (0, 1)]
+            return pa.RecordBatch.from_arrays([*sides, pa.array(sums.values(), pa.int64())], ["left", "right", "n"])
+
+        for b in batches:
+            for s, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                for p in zip(s, s[1:]):
+                    sums[p] += n
+            if len(sums) > HELD_PAIRS:
+                yield passed()
+                sums.clear()
+        yield passed()
+
+    return words.mapInArrow(run, "left binary, right binary, n long").groupBy("left", "right").agg(F.sum("n").alias("n"))
+
+
+def _merged_words(words: DataFrame, options: dict) -> DataFrame:
+    """``symbols, n`` after the merges, each in its turn; a word of one symbol has no pairs left and goes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            merged = [(merge_symbols(s, options, True), n) for s, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+            kept = [(s, n) for s, n in merged if len(s) > 1]
+            yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in kept], pa.list_(pa.int32())), pa.array([n for _, n in kept], pa.int64())],
+                                             ["symbols", "n"])
+
+    return words.mapInArrow(run, "symbols array<int>, n long")
+
+
+def _pair_changes(words: DataFrame, options: dict, since: int) -> DataFrame:
+    """``step, left, right, d``: how each merge from ``since`` on changes the count of each pair."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        changes: dict = {}
+
+        def passed() -> pa.RecordBatch:
+            rows = [k for k in changes]
+            parts = [pa.array([k[i] for k in rows], pa.int32()) for i in range(3)]
+            return pa.RecordBatch.from_arrays([*parts, pa.array(changes.values(), pa.int64())], ["step", "left", "right", "d"])
+
+        for b in batches:
+            for s, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                merge_symbols(s, options, True, n, since, changes)
+            if len(changes) > HELD_PAIRS:
+                yield passed()
+                changes.clear()
+        yield passed()
+
+    rows = words.mapInArrow(run, "step int, left int, right int, d long")
+    return rows.groupBy("step", "left", "right").agg(F.sum("d").alias("d")).filter("d <> 0")
+
+
+class _Training:
+    """The words as a table, the leading pairs with their exact counts on the driver.
+
+    The driver forecasts the next merges on a bounded sample of frequent words.  One
+    job replays them on all words and sums how every step changes the count of each
+    pair.  From these sums the driver goes through the steps again with exact counts
+    and takes those that were forecast right.  The first one always is, so a poor
+    forecast costs rounds, never results.
+
+    Pairs outside the list are below ``bound``: (negative count, key) of the last pair
+    of the list.  Their counts do not grow but when a merge builds bytes that a
+    symbol has already; then the bound is raised by what they gained.  A new pair
+    that could reach the bound is listed with its first change.
     """
-    counts = dict(ranked)
-    unseen = 0 if complete else ranked[-1][1]
-    taken, used, bound = [], set(), unseen
-    for (left, right), n in ranked:
-        joined = left + right
-        alone = joined in known
-        if taken and (alone or n <= bound or {left, right} & used or any(joined == a + b for a, b in taken)):
-            break
-        taken.append((left, right))
-        if alone or len(taken) == limit:
-            break
-        used |= {left, right}
-        touching = [c for (a, b), c in counts.items() if b == left or a == right]
-        bound = max(bound, min(max(touching, default=0), n))
-    return taken
+
+    def __init__(self, counted: DataFrame, merges: list[tuple[bytes, bytes]], listed: int, sample: int):
+        self.names = [bytes([b]) for b in range(fixed.BYTE_TOKENS)]
+        self.number = {name: i for i, name in enumerate(self.names)}
+        self.live = set(range(fixed.BYTE_TOKENS))
+        self.listed, self.batch = listed, FIRST_BATCH
+        self.sample, self.largest = min(FIRST_SAMPLE, sample), sample
+        self.pending: list[tuple[Pair, int]] = []
+        cores = counted.sparkSession.sparkContext.defaultParallelism
+
+        def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                symbols = [list(w) for w in b.column(0).cast(pa.binary()).to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array(symbols, pa.list_(pa.int32())), b.column(1)], ["symbols", "n"])
+
+        spelled = counted.select("word", "n").mapInArrow(spell, "symbols array<int>, n long")
+        if spelled.rdd.getNumPartitions() < cores or counted.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+            spelled = spelled.repartition(max(cores, spelled.rdd.getNumPartitions()))
+        self.words = materialize(spelled, "words")
+        for left, right in merges:
+            self.accept((self.numbered(left), self.numbered(right)))
+        self.refresh()
+
+    def numbered(self, name: bytes) -> int:
+        if name not in self.number:
+            self.number[name] = len(self.names)
+            self.names.append(name)
+        return self.number[name]
+
+    def joined(self, pair: Pair) -> int:
+        return self.numbered(self.names[pair[0]] + self.names[pair[1]])
+
+    def accept(self, pair: Pair) -> None:
+        self.live.add(self.joined(pair))
+        self.pending.append((pair, self.joined(pair)))
+
+    def options(self, steps: list[tuple[Pair, int]]) -> dict:
+        out: dict = {}
+        for order, (pair, joined) in enumerate(steps):
+            out.setdefault(pair, []).append((order, joined))
+        return out
+
+    def write(self) -> None:
+        if self.pending:
+            self.words, self.pending = materialize(_merged_words(self.words, self.options(self.pending)), "words"), []
+
+    def refresh(self) -> None:
+        """List the leading pairs anew."""
+        self.write()
+        pairs = _binary_pairs(self.words, self.names)
+        rows = pairs.orderBy(F.desc("n"), F.desc("left"), F.desc("right")).limit(self.listed).collect()
+        counts = {(self.number[bytes(r["left"])], self.number[bytes(r["right"])]): r["n"] for r in rows}
+        self.exact = Ranking(counts, self.names)
+        full = len(rows) == self.listed
+        last = next(reversed(counts), None)
+        self.bound = self.exact.key(last, counts[last]) if full else (0, (), ())
+        self.draw()
+
+    def draw(self) -> None:
+        """Sample the words: half of the sample are the most frequent ones, the others stand for all rarer ones."""
+        self.write()
+        short, half = self.words.filter(F.size("symbols") <= SAMPLE_SYMBOLS), self.sample // 2
+        some = [(r["symbols"], r["n"]) for r in short.orderBy(F.desc("n"), "symbols").limit(half).collect()]
+        if len(some) == half:
+            known, held = {tuple(s) for s, _ in some}, sum(n for _, n in some)
+            rows = short.filter(F.col("n") <= some[-1][1]).orderBy(F.xxhash64("symbols"), "symbols").limit(half).collect()
+            rarer = [(r["symbols"], r["n"]) for r in rows if tuple(r["symbols"]) not in known]
+            times = (short.agg(F.sum("n")).first()[0] - held) / max(1, sum(n for _, n in rarer))
+            some += [(s, n * max(1.0, times)) for s, n in rarer]
+        self.forecast = Forecast(some)
+
+    def leads(self, pair: Pair | None) -> bool:
+        """Whether no pair outside the list can come before this one."""
+        return pair is not None and self.exact.key(pair, self.exact.counts[pair]) <= self.bound
+
+    def guess(self, limit: int) -> list[tuple[Pair, int]]:
+        """The merges expected next; the first one is certain."""
+        likely, out = Ranking(self.exact.counts, self.names), []
+        while len(out) < limit:
+            pair = likely.best()
+            if pair is None or likely.key(pair, likely.counts[pair]) > self.bound:
+                break
+            n, in_sample, joined = likely.counts[pair], self.forecast.counts[pair], self.joined(pair)
+            out.append((pair, joined))
+            scale = n / in_sample if in_sample > 0 else 1
+            likely.add(pair, -n)
+            for p, d in self.forecast.merge(pair, joined).items():
+                if p != pair and (p in likely.counts or joined in p):
+                    likely.add(p, round(d * scale))
+        return out
+
+    def steps(self, limit: int) -> list[Pair]:
+        """The next merges, as many as this round makes sure of; none when no pair is left."""
+        if not self.leads(self.exact.best()):
+            self.refresh()
+            if not self.leads(self.exact.best()):
+                return []
+        tried = self.guess(min(limit, self.batch))
+        known, again = set(self.live), set()
+        for k, (_, joined) in enumerate(tried):
+            if joined in known:
+                again.add(k)
+            known.add(joined)
+        base = len(self.pending)
+        changes = _pair_changes(self.words, self.options(self.pending + tried), base)
+        spark = self.words.sparkSession
+        # As many rows as pairs are listed on the driver.
+        here = spark.createDataFrame(pd.DataFrame(list(self.exact.counts), columns=["left", "right"]), "left int, right int")
+        gains = F.sum(F.greatest("d", F.lit(0)))
+        repeats = F.max(F.col("step").isin([base + k for k in again]) & (F.col("d") > 0)) if again else F.lit(False)
+        by_pair = changes.groupBy("left", "right").agg(
+            F.collect_list(F.struct("step", "d")).alias("steps"), gains.alias("gains"), repeats.alias("repeats"))
+        wanted = by_pair.join(F.broadcast(here.withColumn("here", F.lit(True))), ["left", "right"], "left").filter(
+            F.col("here") | F.col("repeats") | (F.col("gains") >= max(1, -self.bound[0])))
+        by_step = defaultdict(list)
+        for r in wanted.collect():
+            for s in r["steps"]:
+                by_step[s["step"] - base].append(((r["left"], r["right"]), s["d"]))
+        taken: list[Pair] = []
+        for k, (pair, joined) in enumerate(tried):
+            if self.exact.best() != pair or not self.leads(pair):
+                break
+            gained = 0
+            for p, d in by_step[k]:
+                if p in self.exact.counts or (joined in p and k not in again):
+                    self.exact.add(p, d)
+                else:
+                    gained = max(gained, d)
+            if gained:
+                self.bound = (self.bound[0] - gained, (), ())
+            self.accept(pair)
+            taken.append(pair)
+        self.forecast.keep(len(taken))
+        self.batch = min(LARGEST_BATCH, 2 * self.batch) if len(taken) == len(tried) else max(FIRST_BATCH, 2 * len(taken))
+        if 2 * len(taken) < len(tried) and self.sample < self.largest:
+            # Later merges touch few words, so more of them can be tried on.
+            self.sample = min(self.largest, 4 * self.sample)
+            self.draw()
+        elif len(self.pending) >= PENDING_MERGES:
+            self.write()
+        return taken
 
 
 def train_bpe(df: DataFrame, vocab_size: int, specials: Sequence[str] = (fixed.END_OF_TEXT,),
               model: Tokenizer | None = None, text: str = "text", replay: bool = True,
-              top_pairs: int = TOP_PAIRS) -> Tokenizer:
+              top_pairs: int = TOP_PAIRS, sample_words: int = SAMPLE_WORDS) -> Tokenizer:
     """Train to ``vocab_size`` entries, or go on from ``model``.
 
-    Counting words is one aggregation over the corpus.  After it, each round is
-    one aggregation over the distinct words; the driver sees only the leading
-    ``top_pairs`` and picks all merges that are certain (``independent_merges``).
-    A round takes a second or more, so a vocabulary of some thousands is
-    practical; for larger ones expect the number of rounds to grow with it.
+    Counting words is one aggregation over the corpus.  After it, each round is one
+    pass over the distinct words that makes sure of as many merges as the driver
+    forecast right (``_Training``); the driver holds the leading ``top_pairs`` and
+    ``sample_words`` words.  The merges are those of one-at-a-time training.
 
     ``replay=False`` leaves the merges of ``model`` out of the words, so that
     training starts from single bytes again under new ids and ranks.
@@ -175,38 +361,19 @@ def train_bpe(df: DataFrame, vocab_size: int, specials: Sequence[str] = (fixed.E
     if model is not None:
         out = Tokenizer(df.sparkSession, dict(model.tokens), dict(model.merges), dict(model.specials))
     out.register_specials(specials)
-    counted = word_counts(df, specials, text)
-    pending = sorted(out.merges, key=out.merges.get) if replay else []
-    words = counted.select(to_symbols(F.col("word")).alias("symbols"), "n")
-    known = set(out.tokens.values())
-
-    def merged(words, merges):
-        symbols = F.col("symbols")
-        for left, right in merges:
-            symbols = apply_merge(symbols, left, right)
-        return words.select(symbols.alias("symbols"), "n")
-
-    def written(words, merges):
-        # A word of one symbol has no pairs left.
-        return materialize(keep(merged(words, merges), F.contains("symbols", F.lit(" ."))), "words")
-
-    words, pending = written(words, pending[:PENDING_MERGES]), pending[PENDING_MERGES:]
-    while len(pending) > PENDING_MERGES:
-        words, pending = written(words, pending[:PENDING_MERGES]), pending[PENDING_MERGES:]
-
+    if len(out.tokens) >= vocab_size:
+        return out
+    before = sorted(out.merges, key=out.merges.get) if replay else []
+    training = _Training(word_counts(df, specials, text), before, top_pairs, sample_words)
+    rank, new_id = out.next_rank(), out.next_id()
     while len(out.tokens) < vocab_size:
-        if len(pending) > PENDING_MERGES:
-            words, pending = written(words, pending), []
-        rows = best_pairs(pair_counts(merged(words, pending)), top_pairs).collect()
-        if not rows:
+        taken = training.steps(vocab_size - len(out.tokens))
+        if not taken:
             break
-        ranked = [(tuple(bytes.fromhex(s[1:]) for s in r.pair.split()), r.n) for r in rows]
-        for pair in independent_merges(ranked, len(rows) < top_pairs, known, vocab_size - len(out.tokens)):
-            rank, new_id, token = out.next_rank(), out.next_id(), pair[0] + pair[1]
-            out.merges[pair] = rank
-            out.tokens[new_id] = token
-            known.add(token)
-            pending.append(pair)
+        for pair in taken:
+            left, right = (training.names[s] for s in pair)
+            out.merges[left, right], out.tokens[new_id] = rank, left + right
+            rank, new_id = rank + 1, new_id + 1
     return out
 
 
@@ -214,22 +381,18 @@ def train_bpe(df: DataFrame, vocab_size: int, specials: Sequence[str] = (fixed.E
 
 def _encode_words(model: Tokenizer):
     """Arrow function: ids of a list of words, lowest-ranked merge first; a worker remembers words."""
-    merges, specials = dict(model.merges), dict(model.specials)
-    ids = {token: i for i, token in model.tokens.items()}
-    never = len(merges) + max(merges.values(), default=0) + 1
+    number = {bytes([b]): b for b in range(fixed.BYTE_TOKENS)}
+    options = {}
+    for (left, right), rank in model.merges.items():
+        a, b, joined = (number.setdefault(t, len(number)) for t in (left, right, left + right))
+        options[a, b] = [(rank, joined)]
+    ids = {number[t]: i for i, t in model.tokens.items() if t in number}
+    specials = dict(model.specials)
 
     def encode(word: str) -> list[int]:
         if word in specials:
             return [specials[word]]
-        parts = [bytes([b]) for b in word.encode()]
-        while len(parts) > 1:
-            ranks = [merges.get(pair, never) for pair in zip(parts, parts[1:])]
-            low = min(ranks)
-            if low == never:
-                break
-            at = ranks.index(low)
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        return [ids[p] for p in parts]
+        return [ids[s] for s in merge_symbols(list(word.encode()), options)]
 
     memo: dict[str, list[int]] = {}
 
