@@ -319,8 +319,7 @@ def q_candidate_pairs(spark, sf):
 
 def q_jaccard_verify(spark, sf):
     docs = materialize(_normal(spark, sf).select("doc_id", "text"), "normal")
-    found = neardup.verify_pairs(neardup.bucket_links(neardup.lsh_bands(docs)), docs)
-    return found.select("i", "j", F.round("similarity", 6).alias("similarity"))
+    return neardup.all_links(docs).select("i", "j", F.round("similarity", 6).alias("similarity"))
 
 
 def _near(spark, sf):
@@ -673,10 +672,12 @@ def oracle_sql() -> dict[str, str]:
                           "count(*) * (count(*) - 1) // 2 AS pairs FROM bands GROUP BY band, band_key HAVING count(*) > 1"),
         "candidate_pairs": q(O.NORMAL, O.signatures("normal"), "f AS (SELECT doc_id AS j, min(doc_id) OVER (PARTITION BY band, band_key) AS i FROM bands)",
                              "SELECT DISTINCT i, j FROM f WHERE i < j"),
-        "jaccard_verify": q(O.NORMAL, O.signatures("normal"), "f AS (SELECT doc_id AS j, min(doc_id) OVER (PARTITION BY band, band_key) AS i FROM bands)",
-                            "c AS (SELECT DISTINCT i, j FROM f WHERE i < j)",
+        "jaccard_verify": q(O.NORMAL, O.signatures("normal"), "class AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS first FROM normal)",
+                            "b AS (SELECT bands.* FROM bands JOIN class USING (doc_id) WHERE doc_id = first)",
+                            "c AS (SELECT DISTINCT x.doc_id AS i, y.doc_id AS j FROM b AS x JOIN b AS y USING (band, band_key) WHERE x.doc_id < y.doc_id)",
                             f"s AS (SELECT i, j, {O.JACCARD} AS similarity FROM c JOIN grams a ON a.doc_id = i JOIN grams b ON b.doc_id = j)",
-                            "SELECT i, j, round(similarity, 6) AS similarity FROM s WHERE similarity >= 0.8"),
+                            f"SELECT i, j, round(similarity, 6) AS similarity FROM s WHERE similarity >= {fixed.JACCARD} "
+                            "UNION ALL SELECT first, doc_id, 1.0::DOUBLE FROM class WHERE first < doc_id"),
         "components": q(O.NORMAL, O.clusters("normal"), "SELECT doc_id, cluster_id FROM clustered"),
         "dedup": q(O.NORMAL, O.clusters("normal"), "SELECT doc_id, text FROM normal JOIN clustered USING (doc_id) WHERE doc_id = cluster_id"),
         "duplicate_report": q(O.NORMAL, O.clusters("normal"), "SELECT cluster_id, count(*) AS size FROM clustered GROUP BY cluster_id HAVING count(*) > 1"),

@@ -189,3 +189,29 @@ def test_no_cartesian_product(docs_of):
     for df in (found.clusters(), found.kept(), N.bucket_links(N.lsh_bands(docs_of(["a b", "c"])))):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+@pytest.mark.parametrize("rows_per_task", [7, 1_000_000])
+def test_all_links_equal_brute_force(docs_of, rows_per_task):
+    texts = corpus(9)
+    got = {(r.i, r.j): r.similarity for r in N.all_links(docs_of(texts), rows_per_task=rows_per_task).collect()}
+    first, expected = {}, {}
+    for i, t in enumerate(texts):
+        rep = first.setdefault(" ".join(t.split()), i)
+        if rep != i:
+            expected[rep, i] = 1.0
+    reps = sorted(first.values())
+    sigs, sets = {i: brute_signature(texts[i]) for i in reps}, {i: grams(texts[i]) for i in reps}
+    for i in reps:
+        for j in reps:
+            if i < j and any(sigs[i][b * 8:b * 8 + 8] == sigs[j][b * 8:b * 8 + 8] for b in range(16)):
+                share = len(sets[i] & sets[j]) / len(sets[i] | sets[j])
+                if share >= 0.8:
+                    expected[i, j] = share
+    assert got == expected
+    assert len(expected) > 100
+
+
+def test_all_links_of_few_documents(docs_of):
+    assert N.all_links(docs_of(["one two", "", " "])).collect() == [(1, 2, 1.0)]
+    assert N.all_links(docs_of(["x"]).limit(0)).count() == 0

@@ -34,7 +34,7 @@ from textloom import fixed
 from textloom.functions.text import collapse_space
 from textloom.operators.components import connected_components
 from textloom.operators.keep import keep
-from textloom.operators.lookup import join_by_count, leave_out, pick
+from textloom.operators.lookup import join_by_count, leave_out, lookup, pick
 from textloom.session import materialize
 
 HUBS = 32
@@ -207,6 +207,75 @@ def _verified(pairs: DataFrame, texts: DataFrame, key: str, threshold: float, n:
     return keep(scored, F.col("similarity") >= threshold)
 
 
+# --- all links ----------------------------------------------------------------------
+
+def _prefixes(members: DataFrame, texts: DataFrame, key: str, threshold: float, n: int) -> DataFrame:
+    """``at, key, size, place, buckets``: the rarest shingles of each document in each of its buckets.
+
+    Shingles are in one order for all documents, the rarest among the members first.
+    Two sets that reach the threshold share one of the first |x| - ceil(t |x|) + 1.
+    """
+    shingles = materialize(texts.select(key, F.explode(word_ngrams(F.col("text"), n)).alias("g")).select(
+        key, F.xxhash64("g").alias("s")), "shingles")
+    freq = materialize(shingles.groupBy("s").agg(F.count(F.lit(1)).alias("f")), "shingle-counts")
+    ordered = lookup(shingles, freq, "s", "f").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("f", "s"))).alias("set"))
+    size = F.size("set")
+    # The small allowance keeps rounding from shortening the prefix.
+    rare = F.slice("set", F.lit(1), size - F.ceil(size * threshold - 1e-6).cast("int") + 1)
+    buckets = members.groupBy(key).agg(F.array_sort(F.collect_set("bucket")).alias("buckets"))
+    rows = ordered.select(key, size.alias("size"), F.posexplode(F.transform(rare, lambda x: x["s"])).alias("place", "s"))
+    return rows.join(buckets, key).withColumn("bucket", F.explode("buckets")).select(
+        F.struct("bucket", "s").alias("at"), key, "size", "place", "buckets")
+
+
+def _candidates(members: DataFrame, texts: DataFrame, key: str, threshold: float, n: int, rows_per_task: int) -> DataFrame:
+    """Distinct pairs ``i < j`` of a bucket that could reach the threshold.
+
+    They share one of their rarest shingles, their sizes are close enough, and so
+    are the numbers of shingles left after the shared one.  A pair is looked at in
+    the first bucket it shares only.
+    """
+    rows = materialize(_prefixes(members, texts, key, threshold, n), "prefixes")
+    held = materialize(rows.groupBy("at").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "prefix-groups")
+    left = rows.select("at", *[F.col(c).alias(f"{c}_i") for c in (key, "size", "place", "buckets")])
+    right = rows.select("at", *[F.col(c).alias(f"{c}_j") for c in (key, "size", "place", "buckets")])
+    # Rows alone in their group meet nobody and need no shuffle of their own.
+    met = join_by_count(left, right, "at", held, rows_per_task).filter(F.col(f"{key}_i") < F.col(f"{key}_j"))
+    first = F.array_min(F.array_intersect("buckets_i", "buckets_j")) == F.col("at.bucket")
+    small, large = F.least("size_i", "size_j"), F.greatest("size_i", "size_j")
+    left_over = F.least(F.col("size_i") - F.col("place_i"), F.col("size_j") - F.col("place_j"))
+    needed = (F.col("size_i") + F.col("size_j")) * (threshold / (1 + threshold)) - 1e-6
+    close = met.filter((small >= large * threshold - 1e-6) & (left_over >= needed) & first)
+    return close.select(F.col(f"{key}_i").alias("i"), F.col(f"{key}_j").alias("j")).distinct()
+
+
+def all_links(docs: DataFrame, text: str = "text", key: str = "doc_id", scope: list[str] | None = None,
+              threshold: float = fixed.JACCARD, n: int = fixed.NGRAM, k: int = fixed.NUM_HASHES,
+              bands: int = fixed.NUM_BANDS, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """``i, j, similarity``: every pair of different texts of a bucket that reaches the threshold.
+
+    Texts with the same words in the same order are one class; links are between the
+    smallest ids of classes, and each further document of a class has one row with
+    its smallest id and similarity 1.  Documents without words are such a class.
+    """
+    scope = scope or []
+    signed = materialize(_signed(docs, text, key, scope, n, k, bands), "signed")
+    reps = materialize(_representatives(signed, key, scope), "representatives")
+    sizes = reps.select(F.explode("buckets").alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    sizes = materialize(sizes.filter("n > 1"), "buckets")
+    members = materialize(join_by_count(reps.select(key, F.explode("buckets").alias("bucket")), sizes.select("bucket"),
+                                        "bucket", sizes, rows_per_task).select("bucket", key), "members")
+    texts = materialize(pick(docs.select(key, F.col(text).alias("text")).dropDuplicates([key]),
+                             members.select(key).distinct(), key), "member-texts")
+    pairs = materialize(_candidates(members, texts, key, threshold, n, rows_per_task), "pairs")
+    by_print = F.struct(*scope, "print").alias("p")
+    classes = reps.filter("copies > 1").select(by_print, F.col(key).alias("i"), F.col("copies").alias("n"))
+    copies = join_by_count(signed.select(by_print, F.col(key).alias("j")), classes.select("p", "i"), "p",
+                           classes.select("p", "n"), rows_per_task)
+    return _verified(pairs, texts, key, threshold, n, rows_per_task).unionByName(
+        copies.filter("i < j").select("i", "j", F.lit(1.0).alias("similarity")))
+
+
 # --- clusters ---------------------------------------------------------------------
 
 def _signed(docs: DataFrame, text: str, key: str, scope: list[str], n: int, k: int, bands: int) -> DataFrame:
