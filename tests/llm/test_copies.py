@@ -244,6 +244,18 @@ def test_repeated_rows_of_one_partition(spark):
     check_digests(docs, rows)
 
 
+def test_periods_within_a_document(spark):
+    rng = random.Random(12)
+
+    def gen(n):
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+
+    kinds = [(p, 2 + p % 7) for p in range(1, 201)] + [(p, n) for p in (76, 77, 78) for n in range(2, 9)]
+    docs = {i: gen(130) + gen(p) * n + gen(130) for i, (p, n) in enumerate(kinds)}
+    table = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(4)
+    check_digests(docs, suffix_blocks.digests(table).collect())
+
+
 def test_registered_repeats(spark, data):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{data}/documents.parquet").collect()}
     check_digests(docs, queries.op7_suffix_dedup(spark, data).collect())

@@ -97,7 +97,7 @@ def contexts(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     spread = np.r_[np.zeros(width - 1, np.uint64), low, np.zeros(width - 1, np.uint64)]
     best = ~sliding_min(~spread, width)
     at = np.flatnonzero(gram == best)
-    twice = (gram[at[1:]] == gram[at[:-1]]) & (np.diff(at) < width)
+    twice = (gram[at[1:]] == gram[at[:-1]]) & (np.diff(at) <= width)
     again = np.isin(bucket, gram[at[1:][twice]]) if twice.any() else np.zeros(len(bucket), bool)
     digest = xxhash.xxh3_64_intdigest
     content = np.fromiter((digest(raw[a:a + n + LENGTH - 1]) for a, n in zip(begin.tolist(), size.tolist())), np.uint64, len(begin))
