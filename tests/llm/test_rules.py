@@ -173,6 +173,29 @@ def test_segments_read_back(spark):
     assert chat_states.digests(turns.limit(0)).count() == 0
 
 
+def read_back(pieces):
+    reader = chat_states.Reader(chat_states.DEFAULT)
+    for text, loss in pieces:
+        reader.feed(text, loss)
+    return reader.row(1, True)
+
+
+def test_reader_finds_the_turns_itself(monkeypatch):
+    said = [("user", "a<|im_end|>\n<|im_start|>b"), ("assistant", "<|im_end|><|im_start|>assistant ok"), ("x\ny\\", ""), ("assistant", "<")]
+    whole = [p for role, text in said for p in chat_states.turn_segments(role, text, chat_states.DEFAULT)]
+    row = read_back(whole)
+    assert row[1] == 4 and row[2] == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in said).encode()).hexdigest()
+    assert read_back([(c, loss) for text, loss in whole for c in text]) == row
+    for broken in (whole[:-1], whole[1:], [(t, True) for t, _ in whole], whole[:4] + [(whole[4][0][:3], False), (whole[4][0][3:], True)] + whole[5:],
+                   [*whole, ("more", False)]):
+        with pytest.raises(ValueError):
+            read_back(broken)
+    monkeypatch.setattr(chat_states, "escape", lambda text: text)
+    for role, text in said[:2]:
+        with pytest.raises(ValueError):
+            read_back(chat_states.turn_segments(role, text, chat_states.DEFAULT))
+
+
 def test_roles_in_order(spark):
     def valid(*roles):
         turns = spark.createDataFrame([(1, i, r, "x") for i, r in enumerate(roles)], "conv_id long, turn long, role string, text string")

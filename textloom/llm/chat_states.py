@@ -105,25 +105,91 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 class Reader:
-    """Reads formatted text back, turn by turn, and takes digests of what it finds."""
+    """Reads formatted text back as a stream and takes digests of what it finds.
+
+    It is given pieces of the text with their loss flag, cut anywhere, and knows the
+    marks of the template only.  Every ``<|`` must belong to a mark in its place, and
+    loss must lie on whole texts; anything else is an error, such as a text that was
+    not escaped.  It holds no more than the turn it is in.
+    """
 
     def __init__(self, template: Template):
-        pattern = re.escape(template.before).replace(re.escape("{role}"), "(.*?)") + "(.*?)" + re.escape(template.after)
-        self.turn = re.compile(pattern, re.DOTALL)
+        self.begin, self.name_end = template.before.split("{role}")
+        self.end = template.after
+        if not (self.begin.startswith("<|") and self.end.startswith("<|")):
+            raise ValueError("marks of a template begin with <|")
         self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
         self.n_turns = self.loss_chars = self.chars = 0
-
-    def read(self, parts: list[tuple[str, bool]]) -> None:
-        """One turn's segments.  The role and text come from the joined text, the loss from the mask."""
-        joined = "".join(text for text, _ in parts)
-        found = self.turn.fullmatch(joined)
-        role, text = _NAMED.sub(lambda m: "\n" if m[0] == "\\n" else "\\", unescape(found[1])), unescape(found[2])
+        self.held, self.flags, self.role, self.seen = "", [], None, 0
+
+    def feed(self, piece: str, loss: bool) -> None:
+        self.held += piece
+        self.chars += len(piece)
+        if piece:
+            self.flags.append([len(piece), loss])
+        while self._step():
+            pass
+
+    def _take(self, n: int) -> tuple[str, set[bool]]:
+        """The next characters and the loss flags that lie on them."""
+        text, self.held, flags, left = self.held[:n], self.held[n:], set(), n
+        while left:
+            size, loss = self.flags[0]
+            flags.add(loss)
+            self.flags[0][0] -= min(left, size)
+            left -= min(left, size)
+            if not self.flags[0][0]:
+                self.flags.pop(0)
+        self.seen = 0
+        return text, flags
+
+    def _mark(self, mark: str, at: int) -> bool:
+        """Whether the mark stands there; an error if another one does, false if the text ends within."""
+        found = self.held[at:at + len(mark)]
+        if not mark.startswith(found):
+            raise ValueError(f"{found!r} where {mark!r} is expected")
+        return found == mark
+
+    def _plain(self, n: int) -> str:
+        text, flags = self._take(n)
+        if True in flags:
+            raise ValueError("loss on a mark")
+        return text
+
+    def _step(self) -> bool:
+        if self.role is None:
+            if not self.held or not self._mark(self.begin, 0):
+                return False
+            stop = self.held.find(self.name_end, len(self.begin))
+            if "<|" in self.held[len(self.begin):stop if stop >= 0 else None]:
+                raise ValueError("a mark within a role")
+            if stop < 0:
+                return False
+            self.role = self._plain(stop + len(self.name_end))[len(self.begin):stop]
+            return True
+        at = self.held.find("<|", self.seen)
+        if at < 0:
+            # All but a last character, which may begin a mark, has been looked at.
+            self.seen = max(0, len(self.held) - 1)
+            return False
+        self.seen = at
+        if not self._mark(self.end, at):
+            return False
+        written, flags = self._take(at)
+        self._plain(len(self.end))
+        if len(flags) > 1:
+            raise ValueError("loss on a part of a text")
+        role, text = _NAMED.sub(lambda m: "\n" if m[0] == "\\n" else "\\", unescape(self.role)), unescape(written)
         self.turns.update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
-        learned = unescape("".join(text for text, loss in parts if loss))
-        self.loss.update(learned.encode("utf-8", "surrogatepass"))
-        self.n_turns, self.loss_chars, self.chars = self.n_turns + 1, self.loss_chars + len(learned), self.chars + len(joined)
+        if True in flags:
+            self.loss.update(text.encode("utf-8", "surrogatepass"))
+            self.loss_chars += len(text)
+        self.n_turns, self.role = self.n_turns + 1, None
+        return True
 
     def row(self, conv: int, valid: bool) -> tuple:
+        if self.held or self.role is not None:
+            raise ValueError("the text ends within a turn")
         return (conv, self.n_turns, self.turns.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars, valid)
 
 
@@ -143,7 +209,8 @@ def digests(turns: DataFrame, template: Template = DEFAULT) -> DataFrame:
                     yield _digest_batch(rows)
                     rows = []
                 reader = Reader(template)
-            reader.read(parts)
+            for text, loss in parts:
+                reader.feed(text, loss)
             last = i, valid
         if reader:
             yield _digest_batch([*rows, reader.row(*last)])
