@@ -32,8 +32,6 @@ class Settings:
     bags: int = 4                # classifiers
     positives: int = 4000        # toxic documents a bag learns from, at most
     unlabelled: int = 8000       # unlabelled documents a bag learns from, at most
-    min_docs: int = 10           # toxic documents of a bag that must have a word for it to count
-    words: int = 300             # words a classifier weighs, those that tell the two samples apart best
     steps: int = 1000
     batch: int = 512
     rate: float = 0.03
@@ -69,16 +67,19 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def telling_buckets(pos: list[np.ndarray], unl: list[np.ndarray], s: Settings) -> np.ndarray:
-    """The buckets whose shares of toxic and of unlabelled documents differ most, in standard errors."""
+    """The buckets whose shares of toxic and of unlabelled documents differ by more than chance.
+
+    The difference is measured in standard errors and must exceed what the largest of
+    so many differences would reach by chance, so a word in few documents counts where
+    few are all there are.
+    """
     if not pos or not unl:
         return np.empty(0, np.int64)
     in_pos, in_unl = (np.bincount(np.concatenate(x), minlength=BUCKETS) for x in (pos, unl))
     both = (in_pos + in_unl) / (len(pos) + len(unl))
     error = np.sqrt(np.maximum(both * (1 - both), 1e-9) * (1 / len(pos) + 1 / len(unl)))
     z = np.abs(in_pos / len(pos) - in_unl / len(unl)) / error
-    z[in_pos < s.min_docs] = 0
-    best = np.argsort(-z, kind="stable")[:s.words]
-    return np.sort(best[z[best] > 3])
+    return np.flatnonzero(z > np.sqrt(2 * np.log(max(2, np.count_nonzero(both)))))
 
 
 def fit_nnpu(pos: list[np.ndarray], unl: list[np.ndarray], prior: float, s: Settings, seed: int) -> tuple[np.ndarray, float]:
