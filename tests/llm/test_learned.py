@@ -53,10 +53,21 @@ def test_corrected_risk_turns_back():
     rng = np.random.default_rng(0)
     pos = [np.array([1, 2]) for _ in range(40)]
     unl = [np.array([1, 2]) if rng.random() < 0.9 else np.array([3]) for _ in range(40)]
-    w, bias = pu_toxicity.fit_nnpu(pos, unl, 0.1, Settings(min_docs=1, steps=400), 1)
+    w, bias = pu_toxicity.fit_nnpu(pos, unl, 0.1, Settings(steps=400), 1)
     assert np.isfinite(w).all() and np.isfinite(bias)
 
 
+def test_few_toxic_documents_are_told_apart(spark):
+    rng = np.random.default_rng(1)
+    bad = [f"vile{i}" for i in range(6)]
+    rows = [(i, " ".join([f"w{k}" for k in rng.integers(0, 60, 30)] + list(rng.choice(bad, 4) if i < 8 else []))) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 8)) for i in range(40)], "doc_id long, toxic int")
+    scores = {r.doc_id: r.score for r in pu_toxicity.score(docs, pu_toxicity.fit(docs, labels)).collect()}
+    assert min(scores[i] for i in range(8)) > max(scores[i] for i in range(8, 40))
+    assert min(scores[i] for i in range(8)) >= queries.TOXIC_AT and sum(scores[i] >= queries.TOXIC_AT for i in range(8, 40)) <= 2
+
+
 def test_odd_tables(spark):
     docs = spark.createDataFrame([(1, None), (2, ""), (None, "x"), (3, "w " * 50_000), (3, "w " * 50_000)], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
@@ -129,6 +140,25 @@ def test_few_and_no_vectors(spark):
     assert multiprobe.search(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_few_vectors_all_come_back(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.standard_normal(16).tolist()) for i in range(20)] + [(100, [1.0] * 3), (101, [1.0] * 17)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for s in (multiprobe.DEFAULT, multiprobe.Settings(tables=1, functions=6, width=0.2, probes=1, query_rows=3)):
+        got = multiprobe.search(df, F.lit(True), 20, s).collect()
+        x = np.array([v for _, v in rows[:20]])
+        check_neighbours(got, exact(np.arange(20), x, 20, lambda i: i >= 0), 1.0)
+        assert len(got) == 380
+
+
+def test_queries_in_blocks(spark):
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((400, 8))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    one, many = (sorted(map(tuple, multiprobe.search(df, F.col("vec_id") % 4 == 0, 5, multiprobe.Settings(query_rows=n)).collect())) for n in (7, 20_000))
+    assert one == many
+
+
 def test_perturbations_come_in_order():
     slots = np.array([[0.1, 2.9, -0.5]])
     row, place, key = multiprobe.probed(slots, 27)

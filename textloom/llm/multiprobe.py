@@ -40,6 +40,7 @@ class Settings:
     recall: float = 0.97         # asked for on the sample
     slice_rows: int = 20_000     # index rows of a bucket in one slice
     group_rows: int = 40_000     # index rows of a task's group, on average
+    query_rows: int = 20_000     # queries that meet a group at a time, on average
     seed: int = 11
 
 
@@ -103,6 +104,13 @@ def usable(vectors: DataFrame) -> DataFrame:
     return vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("v")).filter(F.coalesce(ok, F.lit(False)))
 
 
+def of_one_length(rows: DataFrame) -> DataFrame:
+    """The vectors of the most frequent length, of equally frequent ones the shortest."""
+    size = F.size("v")
+    common = rows.groupBy(size.alias("n")).count().orderBy(F.desc("count"), "n").first()
+    return rows.filter(size == (common["n"] if common else 0))
+
+
 def fit(entries: DataFrame, k: int, s: Settings) -> Index | None:
     """Width and probes fitted on a bounded sample, so that ``recall`` is met there."""
     some = entries.orderBy(F.xxhash64("v")).limit(s.sample).select("v").collect()
@@ -120,7 +128,8 @@ def fit(entries: DataFrame, k: int, s: Settings) -> Index | None:
     widths = [s.width] if s.width else [1.0, 1.5, 2.0, 4.0]
     most = s.probes or 3 ** s.functions
     found = []
-    for width in widths:
+    while widths:
+        width = widths.pop(0)
         index = Index(a, b, width, most, float(longest))
         own, other = index.lifted(queries, True), index.lifted(x, False)
         # The place in the visiting order at which a query first meets a candidate.
@@ -138,8 +147,11 @@ def fit(entries: DataFrame, k: int, s: Settings) -> Index | None:
         if s.probes or needed <= most:
             probes = s.probes or needed
             found.append(((first < probes).mean() * len(x) + probes * s.tables, width, probes))
+        if not widths and not found:
+            # Wide enough, all rows share a bucket.
+            widths.append(2 * width)
     # The cheapest that meets the recall.
-    _, width, probes = min(found) if found else (0, widths[-1], most)
+    _, width, probes = min(found)
     return Index(a, b, width, probes, float(longest))
 
 
@@ -147,12 +159,14 @@ def search(vectors: DataFrame, is_query, k: int = 20, s: Settings = DEFAULT) ->
     """``query_id, rank, vec_id, score``: the ``k`` nearest found to each query, its own row left out.
 
     ``vectors(vec_id, embedding)``; ``is_query`` is a condition on ``vec_id``.
-    Vectors that are null, zero or hold null or non-finite components take no part.
+    Vectors that are null, zero or hold null or non-finite components take no part,
+    nor do those of another length than most have.  A query has ``k`` rows, or all
+    other vectors if they are fewer: one that met too few looks at every bucket.
     Equal scores go to the smaller id; repeated rows of an id count once; an empty
     table gives no rows; other columns are ignored.
     """
     spark = vectors.sparkSession
-    rows = materialize(usable(vectors).dropDuplicates(["vec_id"]), "vectors")
+    rows = materialize(of_one_length(usable(vectors).dropDuplicates(["vec_id"])), "vectors")
     # The smallest k + 1 ids of equal vectors are all that one of them can return; the first names them.
     entries = materialize(smallest_ids(rows, k + 1).withColumn("entry", F.col("ids")[0]), "entries")
     index = fit(entries, k + 1, s)
@@ -182,7 +196,9 @@ def smallest_ids(rows: DataFrame, k: int) -> DataFrame:
 def _best(listed: DataFrame, k: int) -> DataFrame:
     """``query, found``: the best ``k`` of each query, in order."""
     pair = F.struct((-F.col("score")).alias("minus"), "vec_id")
-    best = listed.groupBy("query").agg(F.slice(F.array_sort(F.collect_set(pair)), 1, k).alias("x"))
+    part = F.pmod(F.xxhash64("vec_id"), F.lit(64)).alias("part")
+    first = listed.groupBy("query", part).agg(F.slice(F.array_sort(F.collect_set(pair)), 1, k).alias("x"))
+    best = first.groupBy("query").agg(F.slice(F.array_sort(F.flatten(F.collect_list("x"))), 1, k).alias("x"))
     return best.select("query", F.transform("x", lambda p: F.struct(p["vec_id"].alias("vec_id"), (-p["minus"]).alias("score"))).alias("found"))
 
 
@@ -233,17 +249,22 @@ def _nearest(entries: DataFrame, asked: DataFrame, index: Index, k: int, s: Sett
     left = placed.join(cut.filter("slices > 1"), ["tab", "bucket"], "left").withColumn(
         "slice", F.when(F.col("slices") > 1, F.pmod(F.xxhash64("entry"), F.col("slices"))).otherwise(0).cast("int"))
 
+    # A group meets the queries block by block, with its bounded rows repeated for each block.
+    blocks = max(1, -(-asked.count() // s.query_rows))
+    block = F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int").alias("blk")
+    repeated = left.select(where, *key, "entry", "v").withColumn("blk", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+
+    def met(right: DataFrame) -> DataFrame:
+        return repeated.groupBy("grp", "blk").cogroup(right.groupBy("grp", "blk")).applyInPandas(
+            lambda a, b: _rank_group(a, b, k), "query long, entry long, score double")
+
     def visit(own: bool, asking: DataFrame) -> DataFrame:
         probes = asking.select("query", "v").mapInArrow(to_probes(own), "tab int, bucket long, query long")
         # A query goes to a group once, with the list of its buckets there.
-        right = (
+        return met(
             probes.join(cut, ["tab", "bucket"]).withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
             .select(where, "query", F.struct(*key).alias("key")).groupBy("grp", "query").agg(F.collect_list("key").alias("keys"))
-            .join(asking, "query")
-        )
-        return (
-            left.select(where, *key, "entry", "v").groupBy("grp").cogroup(right.groupBy("grp"))
-            .applyInPandas(lambda a, b: _rank_group(a, b, k), "query long, entry long, score double")
+            .join(asking, "query").withColumn("blk", block)
         )
 
     first = materialize(visit(True, asked.withColumn("bound", F.lit(float("-inf")))), "own-buckets")
@@ -253,7 +274,17 @@ def _nearest(entries: DataFrame, asked: DataFrame, index: Index, k: int, s: Sett
     kth = F.try_element_at("x", F.lit(k))
     bounds = scores.select("query", (kth - F.abs(kth) * 1e-9).alias("bound"))
     bounded = asked.join(bounds, "query", "left").fillna(float("-inf"), ["bound"])
-    return first.unionByName(visit(False, bounded))
+    found = materialize(first.unionByName(visit(False, bounded)), "met")
+    # Queries that met fewer entries than they could look at all buckets of one table.
+    least = min(k, entries.count())
+    counts = found.groupBy("query").agg(F.count_distinct("entry").alias("n"))
+    short = materialize(asked.join(counts, "query", "left").filter(F.coalesce("n", F.lit(0)) < least).select("query", "v"), "short")
+    if short.isEmpty():
+        return found
+    none = F.expr("CAST(NULL AS array<struct<tab:int,bucket:bigint,slice:int>>)").alias("keys")
+    everywhere = short.select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("grp"), "query", none, "v",
+                              F.lit(float("-inf")).alias("bound"), block)
+    return found.unionByName(met(everywhere))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -282,9 +313,11 @@ def _rank_group(index_rows: pd.DataFrame, probe_rows: pd.DataFrame, k: int) -> p
     query, asked = probe_rows["query"].to_numpy(), np.stack(probe_rows["v"].to_numpy())
     bound = probe_rows["bound"].to_numpy()[:, None]
     visits: dict[tuple, list[int]] = {}
+    of_first = [key for key in held if key[0] == 0]
     for i, keys in enumerate(probe_rows["keys"]):
-        for key in keys:
-            visits.setdefault((key["tab"], key["bucket"], key["slice"]), []).append(i)
+        # Without a list a query visits all buckets of the first table.
+        for key in of_first if keys is None else ((x["tab"], x["bucket"], x["slice"]) for x in keys):
+            visits.setdefault(key, []).append(i)
     out = []
     for key, rows in visits.items():
         if key not in held:
@@ -293,10 +326,13 @@ def _rank_group(index_rows: pd.DataFrame, probe_rows: pd.DataFrame, k: int) -> p
         for at in range(0, len(rows), 128):
             some = np.array(rows[at:at + 128])
             score = asked[some] @ x.T
-            least = -np.partition(-score, k - 1, axis=1)[:, k - 1:k] if score.shape[1] > k else -np.inf
-            r, c = np.nonzero(score >= np.maximum(least, bound[some]))
-            if len(r):
-                out.append(_top(some[r], e[c], score[r, c], k))
+            least = -np.partition(-score, k - 1, axis=1)[:, k - 1:k] if score.shape[1] > k else np.full((len(some), 1), -np.inf)
+            # Sums of a block may differ in their last digits; those that are kept are added up in one order.
+            with np.errstate(invalid="ignore"):
+                r, c = np.nonzero(score >= np.maximum(least - np.abs(least) * 1e-9, bound[some]))
+            for piece in range(0, len(r), 20_000):
+                p, q = r[piece:piece + 20_000], c[piece:piece + 20_000]
+                out.append(_top(some[p], e[q], (asked[some[p]] * x[q]).sum(axis=1), k))
         if sum(len(q) for q, _, _ in out) > 2_000_000:
             out = [_top(*(np.concatenate(x) for x in zip(*out)), k)]
     if not out:
