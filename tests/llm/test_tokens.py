@@ -151,6 +151,46 @@ def test_edits_keep_the_count_of_the_whole_text(monkeypatch):
             assert tree.n_tokens == len(want(tree.text)) and tree.chars[1] == len(tree.text)
 
 
+def test_many_edits_at_once(monkeypatch):
+    memo, want, rng = token_trees.counting_memo(BYTES), lib(BYTES, ordinary=True), random.Random(8)
+    parts = PARTS + ["。", "，", "…", "line\n", "\x1d", "_", "x.y", "'", "ab\tc"]
+    for _ in range(300):
+        monkeypatch.setattr(token_trees, "LEAF_WORDS", rng.choice([1, 2, 8]))
+        monkeypatch.setattr(token_trees, "LONG_CHUNK", rng.choice([1, 4, 48]))
+        trees = [token_trees.TokenTree("".join(rng.choice(parts) for _ in range(rng.randint(0, 60))), memo) for _ in range(3)]
+        assert all(t.n_tokens == len(want(t.text)) for t in trees)
+        for _ in range(2):
+            work, texts_ = [], []
+            for t in trees:
+                edits = [(a, min(len(t.text), a + rng.randint(0, 6)), "".join(rng.choice(parts) for _ in range(rng.randint(0, 9))))
+                         for a in (rng.randint(0, len(t.text)) for _ in range(rng.randint(0, 6)))]
+                edits, out, at = token_trees.usable(edits, len(t.text)), [], 0
+                for a, z, new in edits:
+                    out += [t.text[at:a], new]
+                    at = z
+                work.append((t, edits))
+                texts_.append("".join(out) + t.text[at:])
+            token_trees.edit_all(work, memo)
+            assert [t.text for t in trees] == texts_
+            assert all(t.n_tokens == len(want(t.text)) and t.chars[1] == len(t.text) for t in trees)
+
+
+@pytest.mark.parametrize("text", ["".join(chr(0x4e00 + i * 37 % 9000) + ("。" if i % 11 == 0 else "") for i in range(20_000)),
+                                  "\n".join(f"line{i}without-spaces" for i in range(2_000)), "a,b;" * 5000])
+def test_text_without_spaces_is_cut(text):
+    memo, want = token_trees.counting_memo(BYTES), lib(BYTES, ordinary=True)
+    tree = token_trees.TokenTree(text, memo)
+    leaves = tree.chars[tree.width:]
+    edits = [(i, i + 1, "!") for i in range(0, len(text), len(text) // 10)]
+    bound = 3 * len(edits) * int(leaves.max())
+    assert len(leaves) > 50 and bound < len(text) * 3
+    token_trees.edit_all([(tree, edits)], memo)
+    assert tree.encoded <= min(bound, len(text) + len(edits)) and tree.n_tokens == len(want(tree.text))
+    one = token_trees.TokenTree(text, memo)
+    one.edit(len(text) // 2, len(text) // 2 + 1, "X")
+    assert one.encoded <= 3 * int(leaves.max()) + 1 and one.n_tokens == len(want(one.text))
+
+
 def test_one_edit_encodes_little():
     memo = token_trees.counting_memo(BYTES)
     tree = token_trees.TokenTree("some words of a long text " * 4000, memo)
@@ -173,7 +213,7 @@ def test_registered_count_equals_encoding_the_edited_text(spark, data):
     import re
 
     def edited(text):
-        spans = sorted((m.start(), m.end(), new) for pattern, new in queries.EDITED for m in re.finditer(pattern, text))
+        spans = sorted((m.start(), m.end(), new) for pattern, new, _ in queries.EDITED for m in re.finditer(pattern, text))
         out, at = [], 0
         for a, b, new in spans:
             if a >= at:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import public_tokenizers
@@ -28,23 +29,19 @@ def held_out() -> F.Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == HELD_OUT
 
 
-# Personal data and shouting are edited: pattern, what is put in its place.
-EDITED = ((r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+\.[A-Za-z0-9.-]+", "<EMAIL>"), (r"[0-9][0-9 .()-]{5,}[0-9]", "<NUMBER>"),
-          (r"[!?]{2,}", "!"), (r"[ \t]{2,}", " "))
+# Personal data and shouting are edited: pattern, what is put in its place, and strings of which a text with a match has one.
+EDITED = ((r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+\.[A-Za-z0-9.-]+", "<EMAIL>", "@"), (r"[0-9][0-9 .()-]{5,}[0-9]", "<NUMBER>", "0123456789"),
+          (r"[!?]{2,}", "!", "!?"), (r"[ \t]{2,}", " ", ("  ", "\t")))
 
 
-def op1_token_counts(spark: SparkSession, sf: str) -> DataFrame:
-    kinds = []
-    for pattern, text in EDITED:
-        spans = secret_index.pattern_spans(F.col("text"), pattern)
-        kinds.append(F.when(F.col("text").rlike(pattern), _replaced(spans, text)))
-    none = F.expr(f"CAST(array() AS {token_trees.EDITS})")
-    edits = F.flatten(F.array(*[F.coalesce(k.cast(token_trees.EDITS), none) for k in kinds]))
-    return token_trees.count_edited(documents(spark, sf), edits, public_tokenizers.path("byte_bpe_50k.json"))
+def masked(text: str) -> list[tuple[int, int, str]]:
+    """The edits of a text; where two overlap, the one that begins first is made."""
+    return [(m.start(), m.end(), new) for pattern, new, signs in EDITED if any(s in text for s in signs)
+            for m in re.finditer(pattern, text)]
 
 
-def _replaced(spans: F.Column, text: str) -> F.Column:
-    return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), F.lit(text).alias("text")))
+def op1_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return token_trees.count_edited(documents(spark, sf), masked, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
