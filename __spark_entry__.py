@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from importlib.util import find_spec
 
@@ -114,6 +115,20 @@ def q_decode_charsets(spark, sf):
     return html.extract_text(raw.select("page_id", html.decode_html(F.col("html")).alias("html")))
 
 
+UNDECLARED = ("windows-1252", "gb18030", "shift_jis", "windows-1251", "koi8-r")
+
+
+@F.pandas_udf(BinaryType())
+def _undeclared(pages: pd.Series, number: pd.Series) -> pd.Series:
+    """Pages in several charsets that declare none."""
+    return pd.Series([re.sub("<meta[^>]*>", "", p).encode(UNDECLARED[n % len(UNDECLARED)], "xmlcharrefreplace") for p, n in zip(pages, number)])
+
+
+def q_decode_undeclared(spark, sf):
+    raw = page_table(spark, sf).select("page_id", _undeclared("html", "page_id").alias("html"))
+    return html.extract_text(raw.select("page_id", html.decode_html(F.col("html")).alias("html")))
+
+
 def q_fetch_pages(spark, sf):
     got = pages.fetch_pages(_urls(spark, sf), page_table(spark, sf))
     return got.select("url_rank", "url", F.md5(F.col("html").cast("binary")).alias("page"))
@@ -626,6 +641,7 @@ def oracle_sql() -> dict[str, str]:
         "duplicate_similarity": q(O.NORMAL, O.clusters("normal"), f"s AS (SELECT c.doc_id, c.cluster_id, {O.JACCARD} AS similarity FROM clustered c "
                                   "JOIN grams a ON a.doc_id = c.cluster_id JOIN grams b ON b.doc_id = c.doc_id WHERE c.doc_id <> c.cluster_id)",
                                   "SELECT doc_id, cluster_id, round(similarity, 6) AS similarity FROM s"),
+        "decode_undeclared": f"SELECT page_id, {O.html_text('html')} AS text FROM pages",
         "ml_score_domain": "SELECT doc_id, true AS known_label, true AS in_range FROM documents",
         "fetch_pages": "SELECT page_id AS url_rank, url, md5(html) AS page FROM pages",
         "read_labelled_lines": q(f"l AS ({labelled})", f"SELECT label, regexp_replace(raw, '[{O.S}]+$', '') AS text FROM l"),

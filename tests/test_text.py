@@ -1,12 +1,14 @@
 import random
 import re
+import time
 import unicodedata
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from textloom.functions import html, pii
+from textloom.functions import charsets, html, html_scan, pii
 from textloom.functions import text as T
 from textloom.operators import quality
 
@@ -118,6 +120,50 @@ def test_extract_text(spark):
     assert html.extract_text(df).first().text == "A &lt; b\nc é中�😀\nq©"
 
 
+@pytest.mark.parametrize("page,text", [
+    ("a &#151; b &#150; &copy 2024 &amp x", "a — b – © 2024 & x"),
+    ("&copy2024 &notit; &bogus; &#x80; &#xD800; &#0 &#99999999999999999999; &", "©2024 ¬it; &bogus; € \ufffd \ufffd \ufffd &"),
+    ('<a title="x > y">t</a>', "t"), ("<a title='>' b=\">\" c=d>t", "t"), ("<a b==\">c", "c"), ("1 < 2 <3 a<b", "1 < 2 <3 a"),
+    ("a<!-- b --!>c<!-->d<!--->e<!-- open", "acde"), ("a<!doctype html>b<?x y>c</>d</ x>e", "abcde"),
+    ("<script>if (a</b>) '</scripty>' <!-- <script> </script> --> </script >e", "e"), ("x<script>open <p>", "x"), ("x<style>a</STYLE foo>y", "xy"),
+    ("<textarea><b>&lt;</textarea>z", "<b><z"), ("<head><title>T</title><p>in body</p>", "in body"), ("<head>  text", "text"),
+    ("<HEAD><meta x><noscript><link></noscript></HEAD><P>x<BR/>y", "x\ny"), ("<p>a<p", "a"), ("", ""), ("&nbsp;a&nbsp b", "a b")])
+def test_page_text(page, text):
+    spaced = re.sub(r" ?\n[ \n]*", "\n", re.sub(r"[ \t]+", " ", html_scan.page_text(page))).strip(" \n")
+    assert spaced == text
+
+
+def test_scanner_is_linear():
+    start = time.perf_counter()
+    for bad in ("<a " * 50_000, "<a b='" + "x" * 200_000, "<!--" * 50_000, "&" * 200_000, "<" * 200_000, "<script>" + "</scrip" * 50_000, "<a " + "=" * 100_000):
+        html_scan.page_text(bad)
+    assert time.perf_counter() - start < 10
+
+
+CYRILLIC = dict(zip("abcdefghijklmnopqrstuvwxyz", "абцдефгхийклмнопярстувшжыз"))
+KANA = dict(zip("abcdefghijklmnopqrstuvwxyz", "あいうえおかきくけこさしすせそたちつてとなにぬねのは"))
+HAN = dict(zip("abcdefghijklmnopqrstuvwxyz", "的一是了我不人在他有这个上们来到时大地为子中你说生国"))
+
+
+@pytest.mark.parametrize("codec,letters", [("cp1252", {}), ("cp1251", CYRILLIC), ("koi8_r", CYRILLIC), ("cp932", KANA), ("gb18030", HAN)])
+def test_undeclared_charsets_are_told_from_bytes(spark, data, codec, letters):
+    letters = letters | {k.upper(): v.upper() for k, v in letters.items()}
+    pages = [r.html for r in spark.read.parquet(f"{data}/pages.parquet").limit(200).collect()]
+    texts = [re.sub("<[^>]*>", " ", html_scan.page_text(p)).translate(str.maketrans(letters)) for p in pages]
+    raw = [t.encode(codec, "xmlcharrefreplace") for t in texts]
+    there = [r for r in raw if any(b > 127 for b in r)]
+    right = sum(r.decode(charsets.detect(r), "replace") == r.decode(codec) for r in there)
+    assert len(there) >= 20 and right >= 0.95 * len(there)
+
+
+def test_marks_and_declarations():
+    assert charsets.decode("\ufeffé".encode("utf-16-le"), "") == "é" and charsets.decode(b"\xef\xbb\xbf\xc3\xa9", "windows-1251") == "é"
+    assert charsets.decode(b"<meta charset=utf-16><p>abc</p>", "utf-16") == "<meta charset=utf-16><p>abc</p>"
+    for name in ("unicode_escape", "utf-7", "punycode", "base64", "nosuch", ""):
+        assert charsets.decode("é\\u0041".encode(), name) == "é\\u0041"
+    assert charsets.decode(b"caf\xe9 \x81", "iso-8859-1") == "café \x81"
+
+
 def test_decode_html(spark):
     rows = [(1, b"<meta charset=utf-8>\xc3\xa9\xff"), (2, b"<meta charset='ISO-8859-1'>\xe9"), (3, b"plain \xe2\x82")]
     df = spark.createDataFrame([(i, bytearray(b)) for i, b in rows], "id long, b binary")

@@ -2,60 +2,23 @@
 
 from __future__ import annotations
 
-import codecs
-from html.entities import html5
-
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-# Regions without text, removed in this order.
-_DROPPED = (
-    r"(?is)<!--.*?-->",
-    r"(?is)<script\b.*?</script\s*>",
-    r"(?is)<style\b.*?</style\s*>",
-    r"(?is)<head\b.*?</head\s*>",
-)
-_BLOCK_TAG = r"(?i)</?(?:p|div|li|h[1-6]|br|tr|article|nav|footer|ul)\b[^>]*>"
-_ANY_TAG = r"(?s)<[a-zA-Z/!][^>]*>"
-# The names that end in a semicolon; a space for &nbsp; counts as white space.
-_NAMED = {name[:-1]: char for name, char in html5.items() if name.endswith(";")} | {"nbsp": " "}
-_ENTITY = r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
+from textloom.functions import charsets, html_scan
 
 
-def decode_entities(c: Column) -> Column:
-    """Replace entities in one pass, so that what they make is never taken for another.
+@F.pandas_udf(StringType())
+def html_to_text(pages: pd.Series) -> pd.Series:
+    """Text of pages, a line feed for every block tag, references read."""
+    return pages.map(html_scan.page_text, na_action="ignore")
 
-    Numbers that are no character become U+FFFD; unknown names stay as they are.
-    """
-    sep = "\x01"
-    named = F.map_from_arrays(F.split(F.lit(sep.join(_NAMED)), sep), F.split(F.lit(sep.join(_NAMED.values())), sep))
-
-    def char_of(ref):
-        body = F.substring(ref, 2, 1 << 30)
-        body = F.substring(body, 1, F.length(body) - 1)
-        is_hex = body.rlike("^#[xX]")
-        digits = F.regexp_replace(body, "^#[xX]?0*", "")
-        code = F.conv(F.concat(F.lit("0"), F.substring(digits, 1, 7)), 16, 10).cast("long")
-        cp = F.when(is_hex, code).when(body.startswith("#"), F.concat(F.lit("0"), F.substring(digits, 1, 8)).try_cast("long"))
-        bad = (F.length(digits) > 7) | (cp == 0) | cp.between(0xD800, 0xDFFF) | (cp > 0x10FFFF)
-        char = F.decode(F.unhex(F.lpad(F.hex(F.when(bad, 0xFFFD).otherwise(cp)), 8, "0")), "UTF-32")
-        return F.when(body.startswith("#"), char).otherwise(F.coalesce(F.try_element_at(named, body), ref))
-
-    refs = F.transform(F.regexp_extract_all(c, F.lit(_ENTITY), F.lit(0)), char_of)
-    pieces = F.transform(
-        F.arrays_zip(F.split(c, _ENTITY, -1).alias("plain"), refs.alias("ref")),
-        lambda z: F.concat(z["plain"], F.coalesce(z["ref"], F.lit(""))),
-    )
-    return F.when(F.contains(c, F.lit("&")), F.array_join(pieces, "")).otherwise(c)
-
-
-def html_to_text(c: Column) -> Column:
-    for region in _DROPPED:
-        c = F.regexp_replace(c, region, "")
-    c = F.regexp_replace(c, _BLOCK_TAG, "\n")
-    return F.regexp_replace(c, _ANY_TAG, "")
+
+@F.pandas_udf(StringType())
+def decode_entities(texts: pd.Series) -> pd.Series:
+    return texts.map(html_scan.references, na_action="ignore")
 
 
 def clean_blanks(c: Column) -> Column:
@@ -65,50 +28,27 @@ def clean_blanks(c: Column) -> Column:
 
 def extract_text(df, html: str = "html", text: str = "text"):
     """Add the plain text of ``html`` and drop the page source."""
-    return (
-        df.withColumn(text, html_to_text(F.col(html)))
-        .withColumn(text, clean_blanks(decode_entities(F.col(text))))
-        .drop(html)
-    )
-
-
-# What browsers read where a page declares less than it uses (fixed values).
-_WIDER = {"gb2312": "gb18030", "gbk": "gb18030", "shift_jis": "cp932", "shift-jis": "cp932", "sjis": "cp932",
-          "euc-kr": "cp949", "ks_c_5601-1987": "cp949", "big5": "big5hkscs", "iso-8859-9": "cp1254"}
-_WESTERN = ("iso-8859-1", "iso8859-1", "latin1", "latin-1", "windows-1252", "cp1252", "us-ascii", "ascii")
-
-
-def _western(c: Column) -> Column:
-    """windows-1252: Latin-1 with the control characters from 0x80 on replaced."""
-    high = range(0x80, 0xA0)
-    there = [bytes([b]).decode("cp1252", "ignore") or chr(b) for b in high]
-    return F.translate(F.decode(c, "ISO-8859-1"), "".join(map(chr, high)), "".join(there))
+    return df.withColumn(text, clean_blanks(html_to_text(F.col(html)))).drop(html)
 
 
 @F.pandas_udf(StringType())
-def _by_codec(pages: pd.Series, charsets: pd.Series) -> pd.Series:
-    def text(page, charset):
-        if page is None:
-            return None
-        try:
-            name = codecs.lookup(_WIDER.get(charset, charset)).name
-            # A lookup also finds codecs between bytes or strings, which pages don't declare.
-            return bytes(page).decode(name, "replace")
-        except (LookupError, UnicodeError):
-            return bytes(page).decode("utf-8", "replace")
-
-    return pd.Series([text(p, c) for p, c in zip(pages, charsets)], dtype=object)
+def _by_codec(pages: pd.Series, declared: pd.Series) -> pd.Series:
+    return pd.Series([None if p is None else charsets.decode(bytes(p), c) for p, c in zip(pages, declared)], dtype=object)
 
 
 def decode_html(c: Column) -> Column:
     """Bytes to text by the charset declared before the body, bad bytes replaced.
 
-    Without one, or with an unknown one, pages are UTF-8.  UTF-8 and Western pages
-    stay in the JVM; the Arrow function is handed only the others.
+    A byte-order mark goes before the declaration.  Pages that declare nothing, or
+    nothing known, are UTF-8 if their bytes are valid; the others' charset is told from
+    their bytes (``charsets.detect``).  Valid UTF-8 that declares nothing else stays in
+    the JVM; the Arrow function is handed only the others.
     """
     head = F.split(F.decode(c, "ISO-8859-1"), "(?i)<body\\b", 2)[0]
     meta = r"(?is)<meta\b[^>]*?charset\s*=\s*[\"']?\s*([a-z0-9_:.-]+)"
-    charset = F.lower(F.regexp_extract(F.regexp_replace(head, r"(?s)<!--.*?-->", ""), meta, 1))
-    utf8, western = charset.isin("", "utf-8", "utf8"), charset.isin(*_WESTERN)
-    other = _by_codec(F.when(~utf8 & ~western, c), charset)
-    return F.when(western, _western(c)).when(utf8, F.make_valid_utf8(c.cast("string"))).otherwise(other)
+    declared = F.lower(F.regexp_extract(F.regexp_replace(head, r"(?s)<!--.*?-->", ""), meta, 1))
+    marked = F.substring(F.hex(F.substring(c, 1, 3)), 1, 6).rlike("^(EFBBBF|FFFE|FEFF)")
+    text = c.cast("string")
+    named = declared.isin(*charsets.PAGE_CHARSETS) & ~declared.isin(*[k for k, v in charsets.PAGE_CHARSETS.items() if v == "utf-8"])
+    plain = ~marked & ~named & F.is_valid_utf8(text)
+    return F.when(plain, text).otherwise(_by_codec(F.when(~plain, c), declared))
