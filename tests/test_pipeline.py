@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from textloom.operators import bigram, chat, dataset, safety
-from textloom.operators.ranking import rank_ordered, rank_shuffled
+from textloom.operators.ranking import nth_key, rank_ordered, rank_shuffled
 from textloom.plans import clean as clean_plan
 from textloom.plans import collect
 from textloom.sources import lines, pages, tokens
@@ -80,8 +80,8 @@ def test_scratch_tables_go(spark):
 
 def test_fetch_pages_from_bytes(spark):
     urls = spark.createDataFrame([(0, " http://a "), (1, "http://gone"), (2, "")], "url_rank long, url string")
-    crawled = spark.createDataFrame([(1, "http://a", bytearray(b"<p>\xff"))], "page_id long, url string, html binary")
-    assert [(r.url_rank, r.html) for r in pages.fetch_pages(urls, crawled).collect()] == [(0, "<p>�")]
+    crawled = spark.createDataFrame([(1, "http://a", bytearray(b"<meta charset=utf-8>\xff"))], "page_id long, url string, html binary")
+    assert [(r.url_rank, r.html) for r in pages.fetch_pages(urls, crawled).collect()] == [(0, "<meta charset=utf-8>�")]
 
 
 def test_token_dataset(spark, tmp_path):
@@ -99,7 +99,11 @@ def test_ranks(spark):
     rnd = random.Random(2)
     ids = rnd.sample(range(10**12), 400) + list(range(300))
     df = spark.createDataFrame([(i,) for i in ids], "doc_id long").repartition(5)
-    assert [r["rank"] for r in rank_ordered(df, "doc_id", buckets=20).orderBy("doc_id").collect()] == list(range(1, 701))
+    assert [r["rank"] for r in rank_ordered(df, "doc_id", bucket_rows=20).orderBy("doc_id").collect()] == list(range(1, 701))
+    wide = df.withColumn("many", F.array_repeat("doc_id", 3))
+    for found in (rank_ordered(wide, "doc_id", bucket_rows=100), rank_shuffled(wide, "doc_id", 7, bucket_rows=100)):
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert all("many" not in line for line in plan.splitlines() if "Window" in line or "Sort" in line)
     ranked = rank_shuffled(df, "doc_id", 7).collect()
     assert sorted(r["rank"] for r in ranked) == list(range(1, 701))
     assert {r.doc_id: r["rank"] for r in ranked} == {
@@ -294,3 +298,46 @@ def test_stream_counts_and_collect(spark, tables, tmp_path):
     jobs.stream_collect(jobs.stream_files(spark, str(tmp_path / "files"), files_per_batch=1), lambda d: d.select("doc_id"),
                         90, str(tmp_path / "k"), str(tmp_path / "ck"))
     assert spark.read.parquet(str(tmp_path / "k")).count() == 90
+
+
+@pytest.mark.parametrize("settled", [1, 10_000])
+def test_nth_key_and_first_rows(spark, monkeypatch, settled):
+    rnd = random.Random(2)
+    values = [rnd.choice([rnd.randint(-10**15, 10**15), rnd.randint(0, 30), 7]) for _ in range(500)] + [None] * 5
+    df = spark.createDataFrame([(v, "x" * 5) for v in values], "k long, t string").repartition(3)
+    there = sorted(v for v in values if v is not None)
+    for n in (1, 2, 100, 250, 499, 500):
+        assert nth_key(df.select("k"), "k", n, 10, settled) == (there[n - 1], sum(v < there[n - 1] for v in there))
+    assert nth_key(df.select("k"), "k", 501) is None
+    for n in (0, 1, 180, 500, 900):
+        got = collect.top_n(df, n, "k")
+        assert sorted(r.k for r in got.collect()) == there[:n]
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Sort" not in plan and "TakeOrdered" not in plan
+    assert collect.top_n(df.limit(0), 3, "k").count() == 0
+
+
+def test_collect_stops_early(spark, model, monkeypatch):
+    page = "<p>" + " ".join(f"word{i} some more text here" for i in range(30)) + "</p>"
+    crawled = spark.createDataFrame([(i, f"http://p/{i}", page if i % 2 else "<p>short</p>") for i in range(400)], "page_id long, url string, html string")
+    urls = crawled.select((F.col("page_id") * 10).alias("url_rank"), "url")
+    judged = []
+    real = collect.page_samples
+    monkeypatch.setattr(collect, "page_samples", lambda pages, model: (judged.append(pages.count()), real(pages, model))[1])
+    monkeypatch.setattr(collect, "FIRST_STEP", 10)
+    whole = sorted(map(tuple, collect.collect_samples(urls, crawled, model).collect()))
+    for n, steps in ((2, [10]), (6, [24]), (50, [200]), (130, [400]), (1000, [400])):
+        judged.clear()
+        got = sorted(map(tuple, collect.collect_samples(urls, crawled, model, n).collect()))
+        assert got == whole[:n] and judged == steps
+    monkeypatch.setattr(collect, "STEP_PER_SAMPLE", 1)
+    judged.clear()
+    assert len(collect.collect_samples(urls, crawled, model, 30).collect()) == 30 and judged == [30, 120]
+
+
+def test_pages_are_neither_sorted_nor_grouped(spark):
+    crawled = spark.createDataFrame([(1, "http://a", "x"), (2, "http://a", "y")], "page_id long, url string, html string")
+    got = pages.fetch_pages(spark.createDataFrame([(0, "http://a")], "url_rank long, url string"), crawled)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("html" in line for line in plan.splitlines() if "Aggregate" in line or "Sort" in line)
+    assert [r.html for r in got.collect()] == ["x"]

@@ -4,14 +4,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.session import materialize
 
 HASH_DIGITS = 4
-RANGE_BUCKETS = 1000
 # Rows that a bucket of a ranking is meant for.
 BUCKET_ROWS = 1_000_000
 
@@ -52,29 +50,50 @@ def shuffled_key(key: str, seed: int) -> Column:
     return F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")).cast("binary"))
 
 
-def rank_shuffled(df: DataFrame, key: str, seed: int, rank: str = "rank") -> DataFrame:
-    """Number rows from 1 in the order of md5(key:seed), then key.
+def _ranks(df: DataFrame, key: str, order: list[Column], rank: str, bucket_rows: int, **parts: Column) -> DataFrame:
+    """``df`` with the rank of its unique key; only keys are ordered, and joined back."""
+    ranked = rank_rows(df.select(key, *[c.alias(n) for n, c in parts.items()]), order, rank, bucket_rows)
+    return df.join(ranked.select(key, rank), key)
 
-    The hash spreads evenly, so its leading digits are the buckets.
-    """
-    digits = F.conv(F.substring("__hash", 1, HASH_DIGITS), 16, 10).cast("int")
-    keyed = df.withColumn("__hash", shuffled_key(key, seed)).withColumn("__bucket", digits)
-    return _number(keyed, ["__hash", key], rank).drop("__hash")
+
+def rank_shuffled(df: DataFrame, key: str, seed: int, rank: str = "rank", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """Number rows from 1 in the order of md5(key:seed), then key; keys are unique."""
+    return _ranks(df, key, [F.col("__hash"), F.col(key)], rank, bucket_rows, __hash=shuffled_key(key, seed))
+
+
+def rank_ordered(df: DataFrame, key: str, rank: str = "rank", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """Number rows from 1 in the order of a unique key."""
+    return _ranks(df, key, [F.col(key)], rank, bucket_rows)
 
 
-def rank_ordered(df: DataFrame, key: str, rank: str = "rank", buckets: int = RANGE_BUCKETS) -> DataFrame:
-    """Number rows from 1 in the order of a numeric, unique key.
+def nth_key(keys: DataFrame, key: str, n: int, bins: int = 1000, settled: int = 10_000) -> tuple | None:
+    """The n-th smallest value of a numeric key, n from 1, and how many keys are smaller; None beyond the end.
 
-    Buckets are cut at approximate quantiles; where exactly does not affect the
-    result, only how even the work is.
+    Histograms over ever narrower ranges lead to the value; the driver sees ``bins``
+    counts a round, and in the end at most ``settled`` rows or one value.
     """
-    shares = [i / buckets for i in range(1, buckets)]
-    cuts = sorted(set(df.stat.approxQuantile(key, shares, 0.2 / buckets)))
-    edges = [float("-inf"), *cuts, float("inf")]
-    if not cuts:
-        return _number(df.withColumn("__bucket", F.lit(0)), [key], rank)
-    cut = Bucketizer(splits=edges, inputCol=key, outputCol="__bucket", handleInvalid="error")
-    return _number(cut.transform(df), [key], rank)
+    low, high, total = keys.agg(F.min(key), F.max(key), F.count(key)).first()
+    if n > total:
+        return None
+    before = 0
+    while True:
+        inside = keys.filter(F.col(key).between(low, high))
+        if low == high:
+            return low, before
+        width = (high - low) / bins
+        if total <= settled or width <= 0 or low + width == low:
+            counts = inside.groupBy(key).count().orderBy(key)
+            for value, many in counts.collect() if total <= settled else counts.toLocalIterator():
+                if before + many >= n:
+                    return value, before
+                before += many
+        place = F.least(F.floor((F.col(key) - F.lit(low)) / F.lit(width)), F.lit(bins - 1))
+        sums = inside.groupBy(place.alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi"))
+        for r in sorted(sums.collect()):
+            if before + r["n"] >= n:
+                low, high, total = r["lo"], r["hi"], r["n"]
+                break
+            before += r["n"]
 
 
 def kth_shuffled(df: DataFrame, key: str, seed: int, k: int):

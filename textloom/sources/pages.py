@@ -22,5 +22,13 @@ def fetch_pages(urls: DataFrame, pages: DataFrame) -> DataFrame:
     if isinstance(pages.schema["html"].dataType, BinaryType):
         pages = pages.withColumn("html", decode_html(F.col("html")))
     asked = trim_urls(urls)
-    first = materialize(pick(pages.select("url", "page_id"), asked, "url").groupBy("url").agg(F.min("page_id").alias("page_id")), "captures")
-    return asked.join(pick(pages, first, "page_id").dropDuplicates(["page_id"]), "url")
+    # Only urls and ids are grouped; sources are neither sorted nor, for a short list, shuffled.
+    ids = pick(pages.select("url", "page_id"), asked, "url").groupBy("url", "page_id").agg(F.count(F.lit(1)).alias("n"))
+    first = materialize(ids.groupBy("url").agg(F.min(F.struct("page_id", "n")).alias("x")).select(
+        F.struct("url", "x.page_id").alias("__page"), "x.n"), "captures")
+    known = pages.withColumn("__page", F.struct("url", "page_id"))
+    got = pick(known, first.filter("n = 1"), "__page")
+    again = first.filter("n > 1")
+    if not again.isEmpty():
+        got = got.unionByName(pick(known, again, "__page").dropDuplicates(["__page"]))
+    return asked.join(got.drop("__page"), "url")
