@@ -15,6 +15,7 @@ from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
 
 # Characters of text that are encoded together.
 GROUP_CHARS = 500_000
@@ -31,6 +32,11 @@ def byte_characters() -> list[str]:
     return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
 
 
+def give_back() -> None:
+    """Return memory that Arrow holds for batches that are done; workers live on for later stages."""
+    pa.default_memory_pool().release_unused()
+
+
 class Grown:
     """A numpy array that is appended to."""
 

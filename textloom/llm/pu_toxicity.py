@@ -21,7 +21,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textloom.llm.chunks import give_back
+
 BUCKETS = 1 << 18
+# Words whose bucket a task remembers.
+CACHED_WORDS = 60_000
 _WORD = re.compile(r"\w+")
 
 
@@ -48,7 +52,7 @@ def text_features(text: str | None, cache: dict[str, int]) -> np.ndarray:
     words = set(_WORD.findall((text or "").lower()))
     got = list(map(cache.get, words, repeat(-1)))
     if -1 in got:
-        if len(cache) > 200_000:
+        if len(cache) > CACHED_WORDS:
             cache.clear()
         for w in words:
             if w not in cache:
@@ -191,5 +195,7 @@ def score(docs: DataFrame, models: list[tuple[np.ndarray, np.ndarray, float]]) -
             logits = [w[:, text_features(t.as_py(), cache)].sum(axis=1) + bias for t in batch.column(at)]
             scores = [float(_sigmoid(x).mean()) for x in logits]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names)
+        cache.clear()
+        give_back()
 
     return docs.mapInArrow(run, docs.withColumn("score", F.lit(0.0)).schema)

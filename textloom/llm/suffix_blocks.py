@@ -28,6 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textloom.llm.chunks import give_back
 from textloom.session import BROADCAST_ROWS, materialize
 
 LENGTH = 100
@@ -35,7 +36,7 @@ GRAM = 24
 # Strings of one context, at most; a longer run is several contexts.
 CONTEXT = 512
 # Contexts a task settles among themselves at a time, and bytes of text sorted at a time.
-TASK_CONTEXTS = 100_000
+TASK_CONTEXTS = 40_000
 BLOCK_BYTES = 1_000_000
 # A bucket with more contexts than this is split by the whole string.
 CROWDED = 2000
@@ -128,6 +129,8 @@ def _text_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 held, n = [], 0
     if held:
         yield _settled(held)
+    held.clear()
+    give_back()
 
 
 def _settled(held: list[tuple]) -> pa.RecordBatch:
