@@ -568,13 +568,13 @@ def _stream(spark, sf, files):
     return jobs.stream_files(spark, path, files_per_batch=1)
 
 
-def _three_batches(spark, sf):
-    """The documents as a stream of three files of uneven size, in the order of their ids."""
+def _three_batches(spark, sf, falling=False):
+    """The documents as a stream of three files of uneven size, in the order of their ids or against it."""
     path = scratch_path(spark, "stream-in")
     docs = documents(spark, sf).select("doc_id", "text")
     most = docs.agg(F.max("doc_id")).first()[0] or 0
     part = F.when(F.col("doc_id") < most / 50, 0).when(F.col("doc_id") < most / 2, 1).otherwise(2)
-    for n in range(3):
+    for n in (2, 1, 0) if falling else range(3):
         docs.filter(part == n).repartition(1).write.mode("append").parquet(path)
     return jobs.stream_files(spark, path, files_per_batch=1)
 
@@ -586,6 +586,14 @@ def q_stream_clean(spark, sf):
     return spark.read.parquet(out).select("doc_id", "text")
 
 
+def q_stream_clean_all(spark, sf):
+    """Near duplicates over all batches; the batches come in falling order of their ids."""
+    stream = _three_batches(spark, sf, falling=True)
+    out, history = scratch_path(spark, "stream-clean"), scratch_path(spark, "history")
+    jobs.stream_clean(stream, _model(spark, sf), out, scratch_path(spark, "state"), history).awaitTermination()
+    return jobs.read_clean(spark, out, history)
+
+
 def q_stream_word_counts(spark, sf):
     out = scratch_path(spark, "stream-words")
     jobs.stream_word_counts(_stream(spark, sf, 3), out, scratch_path(spark, "state")).awaitTermination()
@@ -740,6 +748,7 @@ def oracle_sql() -> dict[str, str]:
         "clip_context": q(O.BYTES, f"SELECT doc_id, md5({joined(f'ids[greatest(len(ids) - {LENGTH}, 0) + 1:len(ids)]')}) AS ids FROM byte_tokens"),
         "stream_clean": q(O.CLEAN_PAGE, O.clusters("cleaned", "CASE WHEN doc_id < (SELECT max(doc_id) FROM documents) / 50 THEN 0 "
                                                    "WHEN doc_id < (SELECT max(doc_id) FROM documents) / 2 THEN 1 ELSE 2 END"), "SELECT doc_id, text FROM cleaned JOIN clustered USING (doc_id) WHERE doc_id = cluster_id"),
+        "stream_clean_all": q(O.CLEAN_PAGE, O.clusters("cleaned"), "SELECT doc_id, text FROM cleaned JOIN clustered USING (doc_id) WHERE doc_id = cluster_id"),
         "stream_word_counts": q(O.WORDS, "SELECT word, n FROM word_counts"),
         "stream_collect": q(O.quality("documents"), f"SELECT doc_id, {O.mask_all('text')} AS text FROM judged WHERE drop_reason IS NULL ORDER BY doc_id LIMIT 100"),
     }

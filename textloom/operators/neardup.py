@@ -259,8 +259,8 @@ def all_links(docs: DataFrame, text: str = "text", key: str = "doc_id", scope: l
     its smallest id and similarity 1.  Documents without words are such a class.
     """
     scope = scope or []
-    signed = materialize(_signed(docs, text, key, scope, n, k, bands), "signed")
-    reps = materialize(_representatives(signed, key, scope), "representatives")
+    signed = materialize(sign(docs, text, key, scope, n, k, bands), "signed")
+    reps = materialize(representatives(signed, key, scope), "representatives")
     sizes = reps.select(F.explode("buckets").alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     sizes = materialize(sizes.filter("n > 1"), "buckets")
     members = materialize(join_by_count(reps.select(key, F.explode("buckets").alias("bucket")), sizes.select("bucket"),
@@ -278,7 +278,7 @@ def all_links(docs: DataFrame, text: str = "text", key: str = "doc_id", scope: l
 
 # --- clusters ---------------------------------------------------------------------
 
-def _signed(docs: DataFrame, text: str, key: str, scope: list[str], n: int, k: int, bands: int) -> DataFrame:
+def sign(docs: DataFrame, text: str, key: str, scope: list[str], n: int, k: int, bands: int) -> DataFrame:
     """One narrow row for a document: id, fingerprint of its words, bucket ids.
 
     Bucket ids are 64-bit hashes of (scope, band, band key).  Should two buckets
@@ -296,7 +296,7 @@ def _signed(docs: DataFrame, text: str, key: str, scope: list[str], n: int, k: i
     )
 
 
-def _representatives(signed: DataFrame, key: str, scope: list[str]) -> DataFrame:
+def representatives(signed: DataFrame, key: str, scope: list[str]) -> DataFrame:
     """One row for each distinct text: smallest id, number of copies, buckets."""
     return signed.groupBy(*scope, "print", "buckets").agg(
         F.min(key).alias(key), F.count(F.lit(1)).alias("copies"))
@@ -325,9 +325,14 @@ def _divide(members: DataFrame, texts: DataFrame, key: str, threshold: float, n:
     return sets.select(key, "bucket", rare).select(F.xxhash64("bucket", "x.s").alias("bucket"), key)
 
 
-def _links(reps: DataFrame, docs: DataFrame, text: str, key: str, threshold: float, n: int,
-           hubs: int, rows_per_task: int) -> DataFrame | None:
-    """Links whose components are those of all linked pairs, or None without any."""
+def find_links(reps: DataFrame, docs: DataFrame, text: str, key: str, threshold: float, n: int,
+               hubs: int, rows_per_task: int, settled: DataFrame | None = None) -> DataFrame | None:
+    """Links whose components are those of all linked pairs, or None without any.
+
+    ``settled(key, label)`` names members that were compared among themselves before,
+    with the components found then.  They are not compared with each other again, and
+    the links hold one from each of them to its label.
+    """
     sizes = reps.select(F.explode("buckets").alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     sizes = materialize(sizes.filter("n > 1"), "buckets")
     members = join_by_count(reps.select(key, F.explode("buckets").alias("bucket")), sizes.select("bucket"),
@@ -337,6 +342,9 @@ def _links(reps: DataFrame, docs: DataFrame, text: str, key: str, threshold: flo
         pick(docs.select(key, F.col(text).alias("text")), members.select(key).distinct(), key), "member-texts")
 
     links, labels, round_no, divided = None, None, 0, False
+    if settled is not None:
+        labels = settled = materialize(settled.select(key, "label"), "settled")
+        links = settled.filter(F.col(key) != F.col("label")).select(F.col("label").alias("i"), F.col(key).alias("j"))
     active = sizes
     while True:
         if labels is None:
@@ -362,10 +370,18 @@ def _links(reps: DataFrame, docs: DataFrame, text: str, key: str, threshold: flo
         # A member is a hub with probability hubs/size; in a small bucket everyone is.
         # The draw is the document's, so that it meets the same hubs in all its buckets.
         draw = F.pmod(F.xxhash64(key, F.lit(round_no)), F.lit(1 << 30)) * F.col("size")
-        drawn = materialize(sized.withColumn("is_hub", draw < F.lit(hubs << 30)), "drawn")
-        hub_rows = drawn.filter("is_hub").select("bucket", F.col(key).alias("hub"), F.col("label").alias("hub_label"))
+        dealt = sized.withColumn("is_hub", draw < F.lit(hubs << 30))
+        if settled is None:
+            dealt = dealt.withColumn("new", F.lit(True))
+        else:
+            dealt = dealt.join(settled.select(key, F.lit(False).alias("new")), key, "left").withColumn(
+                "new", F.coalesce("new", F.lit(True)))
+        drawn = materialize(dealt, "drawn")
+        hub_rows = drawn.filter("is_hub").select(
+            "bucket", F.col(key).alias("hub"), F.col("label").alias("hub_label"), F.col("new").alias("hub_new"))
         met = join_by_count(drawn, hub_rows, "bucket", active, rows_per_task).filter(
-            (F.col("label") != F.col("hub_label")) & (~F.col("is_hub") | (F.col("hub") < F.col(key))))
+            (F.col("label") != F.col("hub_label")) & (F.col("new") | F.col("hub_new"))
+            & (~F.col("is_hub") | (F.col("hub") < F.col(key))))
         pairs = materialize(
             met.select(F.least("hub", key).alias("i"), F.greatest("hub", key).alias("j")).distinct(), "pairs")
         found = materialize(_verified(pairs, texts, key, threshold, n, rows_per_task).select("i", "j"), "links")
@@ -392,9 +408,9 @@ class NearDuplicates:
         scope = scope or []
         self.docs, self.text, self.key, self.n = docs, text, key, n
         self.scope, self.rows_per_task = scope, rows_per_task
-        self.signed = materialize(_signed(docs, text, key, scope, n, k, bands), "signed")
-        self.reps = materialize(_representatives(self.signed, key, scope), "representatives")
-        links = _links(self.reps.select(key, "buckets"), docs, text, key, threshold, n, hubs, rows_per_task)
+        self.signed = materialize(sign(docs, text, key, scope, n, k, bands), "signed")
+        self.reps = materialize(representatives(self.signed, key, scope), "representatives")
+        links = find_links(self.reps.select(key, "buckets"), docs, text, key, threshold, n, hubs, rows_per_task)
         if links is None:
             links = docs.sparkSession.createDataFrame([], "i long, j long")
         # Representatives that belong to a smaller one.

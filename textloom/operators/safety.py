@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from textloom.fixed import GATE_SCORE
 from textloom.operators.lookup import lookup
-from textloom.session import BROADCAST_BYTES, BROADCAST_ROWS, materialize
+from textloom.session import BROADCAST_BYTES, BROADCAST_ROWS, HOT_KEYS, materialize
 
 # What the two gates look for; the stand-in for NSFW is a low quality label.
 TARGETS = {"nsfw": "quality = 0", "toxic": "toxic = 1"}
@@ -81,46 +81,62 @@ def _odds_to_columns(odds: Column, target: str) -> dict[str, Column]:
             f"{target}_score": F.round(F.when(odds > 0, p).otherwise(1 - p), 6)}
 
 
-def nb_odds(docs: DataFrame, model: NaiveBayes, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``key, odds_<target>...``.
+def nb_odds(docs: DataFrame, model: NaiveBayes, text: str = "text", key: str = "doc_id",
+            broadcast_rows: int = BROADCAST_ROWS, hot_keys: int = HOT_KEYS) -> DataFrame:
+    """``key, odds_<target>...``, one row for each key.
 
-    Sums are formed before the shuffle, one row for a document; unknown tokens
-    and empty documents leave the prior.
+    Weights of a checked size go to every task and texts are scored where they
+    are.  With more of them, words are counted by document first, and the counts
+    meet the weights in a join.  Words frequent in *these* documents are found by
+    counting and not shuffled there, whatever the labelled ones held.  Unknown words
+    and null or empty texts have no part in the join; they leave the prior.
     """
-    tokens = docs.select(key, F.explode_outer(words(text)).alias("token"))
-    met = lookup(tokens, model.weights, "token", "n", how="left")
-    return met.groupBy(key).agg(*[
-        (F.lit(prior) + F.coalesce(F.sum(f"w_{t}"), F.lit(0.0))).alias(f"odds_{t}") for t, prior in model.priors.items()])
-
-
-def nb_score(docs: DataFrame, model: NaiveBayes, text: str = "text", key: str = "doc_id") -> DataFrame:
+    odds = _odds_in_row(model, text, broadcast_rows)
+    if odds is not None:
+        scored = docs.select(key, odds.alias("__odds"))
+        return scored.select(key, *[F.col("__odds")[f"odds_{t}"].alias(f"odds_{t}") for t in model.priors])
+    tokens = materialize(docs.select(key, F.explode(words(text)).alias("token")).groupBy(key, "token").agg(
+        F.count(F.lit(1)).alias("times")), "document-words")
+    # A word's rows in the join are the documents that hold it.
+    held = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("docs"))
+    names = [f"w_{t}" for t in model.priors]
+    weights = materialize(model.weights.select("token", *names).join(held, "token"), "met-weights")
+    met = lookup(tokens, weights, "token", "docs", broadcast_rows=broadcast_rows, hot_keys=hot_keys)
+    sums = met.groupBy(key).agg(*[F.sum(F.col(w) * F.col("times")).alias(w) for w in names])
+    return docs.select(key).join(sums, key, "left").select(key, *[
+        (F.lit(prior) + F.coalesce(f"w_{t}", F.lit(0.0))).alias(f"odds_{t}") for t, prior in model.priors.items()])
+
+
+def nb_score(docs: DataFrame, model: NaiveBayes, text: str = "text", key: str = "doc_id",
+             broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``key`` and, for every target, ``<target>_label`` and ``<target>_score``."""
-    odds = nb_odds(docs, model, text, key)
+    odds = nb_odds(docs, model, text, key, broadcast_rows)
     columns = {}
     for t in model.priors:
         columns |= _odds_to_columns(F.col(f"odds_{t}"), t)
     return odds.select(key, *[c.alias(name) for name, c in columns.items()])
 
 
-def score_harmful(docs: DataFrame, model: NaiveBayes, text: str = "text", key: str = "doc_id") -> DataFrame:
+def score_harmful(docs: DataFrame, model: NaiveBayes, text: str = "text", key: str = "doc_id",
+                  broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``docs`` with the labels and scores of both gates.
 
     Weights of a checked size go to every task and texts are scored where they
     are; with more of them words are joined with their weights, and texts with scores.
     """
-    odds = _odds_in_row(model, text)
+    odds = _odds_in_row(model, text, broadcast_rows)
     if odds is None:
-        return docs.join(nb_score(docs, model, text, key), key)
+        return docs.join(nb_score(docs, model, text, key, broadcast_rows), key)
     columns = {}
     for t in model.priors:
         columns |= _odds_to_columns(F.col("__odds")[f"odds_{t}"], t)
     return docs.withColumn("__odds", odds).select(*docs.columns, *[c.alias(name) for name, c in columns.items()])
 
 
-def _odds_in_row(model: NaiveBayes, text: str) -> Column | None:
+def _odds_in_row(model: NaiveBayes, text: str, broadcast_rows: int = BROADCAST_ROWS) -> Column | None:
     """Arrow function with the weights of all tokens, if these are few enough to send."""
     size, held = model.weights.agg(F.count(F.lit(1)), F.sum(F.octet_length("token"))).first()
-    if size > BROADCAST_ROWS or (held or 0) > BROADCAST_BYTES:
+    if size > broadcast_rows or (held or 0) > BROADCAST_BYTES:
         return None
     targets = list(model.priors)
     rows = model.weights.select("token", *[f"w_{t}" for t in targets]).toPandas()
