@@ -553,6 +553,13 @@ def q_context_budget(spark, sf):
     return chat.context_budget(counted, BUDGET)
 
 
+def q_context_budget_ids(spark, sf):
+    """The budget in ids of a vocabulary trained on the rendered turns."""
+    pieces = materialize(q_render_conversation(spark, sf), "pieces")
+    model = bpe.train_bpe(pieces, fixed.BYTE_TOKENS + 1 + MERGES, [fixed.END_OF_TEXT], text="piece")
+    return chat.context_budget(pieces.withColumn("tokens", bpe.count_ids(F.col("piece"), model)), BUDGET)
+
+
 def q_clip_context(spark, sf):
     return _byte_tokens(spark, sf).select("doc_id", _digest(bigram.clip_context(F.col("input_ids"), LENGTH)).alias("ids"))
 
@@ -745,6 +752,7 @@ def oracle_sql() -> dict[str, str]:
         "filter_turns": q(O.TURNS, "SELECT conv_id, turn, role, text FROM kept"),
         "render_conversation": q(O.TURNS, "SELECT conv_id, turn, role, piece FROM piece"),
         "context_budget": q(O.budget(BUDGET), "SELECT conv_id, turn, held, cleared FROM held"),
+        "context_budget_ids": q(O.budget(BUDGET, O.counted_ids(MERGES)), "SELECT conv_id, turn, held, cleared FROM held"),
         "clip_context": q(O.BYTES, f"SELECT doc_id, md5({joined(f'ids[greatest(len(ids) - {LENGTH}, 0) + 1:len(ids)]')}) AS ids FROM byte_tokens"),
         "stream_clean": q(O.CLEAN_PAGE, O.clusters("cleaned", "CASE WHEN doc_id < (SELECT max(doc_id) FROM documents) / 50 THEN 0 "
                                                    "WHEN doc_id < (SELECT max(doc_id) FROM documents) / 2 THEN 1 ELSE 2 END"), "SELECT doc_id, text FROM cleaned JOIN clustered USING (doc_id) WHERE doc_id = cluster_id"),

@@ -316,10 +316,22 @@ TURNS = f"""ends AS (SELECT conv_id, min(turn) AS quit_turn FROM conversations W
       WHEN 'assistant' THEN ' ' || {strip('text')} END AS piece FROM kept WHERE role IN ('user', 'assistant'))"""
 
 
-def budget(limit: int) -> str:
+COUNTED = f"counted AS (SELECT conv_id, turn, role, CAST(len({pretokens('piece')}) AS BIGINT) AS tokens FROM piece)"
+
+
+def counted_ids(merges: int) -> str:
+    """CTE counted(conv_id, turn, role, tokens): ids of each piece, by a vocabulary trained on all pieces."""
+    return ", ".join([f"""tok AS (SELECT conv_id, turn, role, {pretokens('piece')} AS words FROM piece),
+    word_counts AS (SELECT word, count(*) AS n FROM (SELECT unnest(words) AS word FROM tok) GROUP BY word)""", *training(merges)[1:], """
+    word_size AS MATERIALIZED (SELECT word, len(string_split(trim(s), ' ')) AS size FROM trained),
+    counted AS (SELECT conv_id, turn, role, CAST(sum(size) AS BIGINT) AS tokens FROM (
+      SELECT conv_id, turn, role, unnest(words) AS word FROM tok) JOIN word_size USING (word) GROUP BY conv_id, turn, role)"""])
+
+
+def budget(limit: int, counted: str = COUNTED) -> str:
     return TURNS + f""",
-    numbered AS MATERIALIZED (SELECT conv_id, turn, role, CAST(len({pretokens('piece')}) AS BIGINT) AS tokens,
-      row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM piece),
+    {counted},
+    numbered AS MATERIALIZED (SELECT conv_id, turn, role, tokens, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM counted),
     held AS (SELECT conv_id, turn, k, tokens AS held, role = 'assistant' AND tokens > {limit} AS cleared FROM numbered WHERE k = 1
       UNION ALL
       SELECT n.conv_id, n.turn, n.k, CASE WHEN cleared THEN 0 ELSE held END + n.tokens,

@@ -6,7 +6,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from textloom.operators import bigram, chat, dataset, safety
+from textloom import fixed
+from textloom.operators import bigram, bpe, chat, dataset, safety
 from textloom.operators.ranking import nth_key, rank_ordered, rank_shuffled
 from textloom.plans import clean as clean_plan
 from textloom.plans import collect
@@ -218,6 +219,19 @@ def test_context_budget(spark, chunk):
     assert [tuple(r) for r in got] == expected
 
 
+def test_budget_counts_what_the_encoder_gives(spark):
+    """Counts of pieces add up to the count of the whole context, also after empty replies and specials."""
+    said = ["hi there, hi", " ", "", "a  b\n\nc ", "<|endoftext|>x", "it's  ", "\u00e9\u4e2d!?", "12 ", "end"]
+    rows = [(1, t, ("user", "assistant")[t % 2], x) for t, x in enumerate(said)]
+    pieces = chat.render_conversation(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string"))
+    model = bpe.train_bpe(pieces, fixed.BYTE_TOKENS + 1 + 12, [fixed.END_OF_TEXT], text="piece")
+    counted = pieces.withColumn("tokens", bpe.count_ids(F.col("piece"), model)).orderBy("turn").collect()
+    whole = spark.createDataFrame([(0, "".join(r.piece for r in counted))], "doc_id long, text string")
+    assert sum(r.tokens for r in counted) == len(bpe.encode(whole, model).first().input_ids)
+    null = spark.createDataFrame([(None,)], "piece string").select(bpe.count_ids(F.col("piece"), model).alias("n"))
+    assert null.first().n == 0
+
+
 # --- safety -------------------------------------------------------------------------
 
 def test_naive_bayes(spark, docs_of):

@@ -424,6 +424,11 @@ def encode(df: DataFrame, model: Tokenizer, text: str = "text", key: str = "doc_
     return df.select(key, _encode_words(model)(words).alias("input_ids"))
 
 
+def count_ids(c: Column, model: Tokenizer) -> Column:
+    """Number of ids of a text, 0 for null; row by row, like ``encode``."""
+    return F.coalesce(F.size(_encode_words(model)(words_of(c, tuple(model.specials)))), F.lit(0))
+
+
 def token_hex(ids: Column, model: Tokenizer) -> Column:
     """Hex bytes of each id; an id outside the vocabulary is an error.
 
