@@ -2,9 +2,11 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from textloom.llm import cascade, chat_states, queries, secret_index
 
@@ -101,6 +103,28 @@ def test_spans_equal_searching_every_text(spark):
         assert [(s.start, s.kind_no, s.stop, s.kind) for s in r.spans] == plain_spans(values[r.doc_id])
 
 
+@pytest.mark.parametrize("n", [255, 256, 257, 600])
+def test_spans_of_many_matches(spark, n):
+    rnd = random.Random(n)
+    text = "".join("\u00e9zz \U0001f600"[:rnd.randint(1, 5)] + "0123456789abcdef" * rnd.choice([0, 1, 2]) for _ in range(n)) + "-" * (n % 2)
+    got = spark.createDataFrame([(1, text)], "doc_id long, text string").select(
+        secret_index.pattern_spans(F.col("text"), "[0-9a-f]+", 0, 17).alias("s")).first().s
+    assert [tuple(x) for x in got] == [m.span() for m in re.finditer("[0-9a-f]+", text) if len(m.group()) >= 17]
+
+
+def test_time_grows_with_the_matches(spark):
+    def took(n):
+        df = spark.createDataFrame([(1, "0123456789abcdef " * n)], "doc_id long, text string").select(
+            F.size(secret_index.pattern_spans(F.col("text"), "[0-9a-f]+", 0, 16)).alias("n"))
+        begin = time.time()
+        assert df.first().n == n
+        return time.time() - begin
+
+    took(1000)
+    # Four times the matches; with copies of whole arrays it would be sixteen times.
+    assert took(64_000) < 8 * took(16_000) + 1
+
+
 def test_no_match_is_outside_the_trigram_query():
     for text in filter(None, secret_texts()):
         for _, n, _, _ in plain_spans(text):

@@ -21,6 +21,8 @@ from textloom.session import BROADCAST_ROWS, materialize
 
 # Alternatives of a query beyond this many are given up for "every document".
 MAX_ALTERNATIVES = 64
+# Matches of a text that are folded together.
+RUN = 256
 SPAN = "array<struct<start:int,kind_no:int,stop:int,kind:string>>"
 
 
@@ -153,25 +155,48 @@ def pattern_spans(text: Column, pattern: str, group: int = 0, least: int = 1) ->
 
     The pieces between the matches and the matches themselves add up to the text,
     which gives the places.  Matches whose ``group`` is shorter than ``least`` are
-    dropped after matching, so they still use up their characters.
+    dropped after matching, so they still use up their characters.  Appending to an
+    array copies it, so matches are folded in runs of ``RUN`` that start at sums of
+    the runs before.
     """
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     parts = F.arrays_zip(
         F.transform(F.split(text, pattern, -1), F.length).alias("gap"),
         F.transform(whole, F.length).alias("size"),
         F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.length).alias("part"))
-    begin = F.struct(F.lit(0).alias("at"), F.expr("CAST(array() AS array<struct<start:int,stop:int>>)").alias("spans"))
+    none = F.expr("CAST(array() AS array<struct<start:int,stop:int>>)")
+    zero = F.lit(0)
+
+    def runs(p: Column) -> Column:
+        numbers = F.sequence(zero, F.ceil(F.size(p) / RUN).cast("int") - 1)
+        return F.transform(numbers, lambda i: F.slice(p, i * RUN + 1, RUN))
+
+    def length(run: Column) -> Column:
+        return F.aggregate(run, zero, lambda acc, x: acc + x["gap"] + F.coalesce(x["size"], zero))
+
+    def begins(lengths: Column) -> Column:
+        return F.aggregate(
+            lengths, F.struct(zero.alias("at"), F.expr("CAST(array() AS array<int>)").alias("all")),
+            lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.array_append(acc["all"], acc["at"]).alias("all")),
+            lambda acc: acc["all"])
 
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + x["gap"]
-        stop = start + F.coalesce(x["size"], F.lit(0))
+        stop = start + F.coalesce(x["size"], zero)
         span = F.struct(start.alias("start"), stop.alias("stop"))
         return F.struct(stop.alias("at"), F.when(x["part"] >= least, F.array_append(acc["spans"], span))
                         .otherwise(acc["spans"]).alias("spans"))
 
-    none = F.expr("CAST(array() AS array<struct<start:int,stop:int>>)")
+    def fold(run: Column, at: Column) -> Column:
+        return F.aggregate(run, F.struct(at.alias("at"), none.alias("spans")), step, lambda acc: acc["spans"])
+
+    # One-element arrays bind values that are used twice.
+    def spans(r: Column) -> Column:
+        return F.flatten(F.zip_with(r, begins(F.transform(r, length)), fold))
+
+    bound = F.transform(F.transform(F.array(parts), runs), spans)[0]
     enough = F.exists(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), lambda m: F.length(m) >= least)
-    return F.when(enough, F.aggregate(parts, begin, step, lambda acc: acc["spans"])).otherwise(none)
+    return F.when(enough, bound).otherwise(none)
 
 
 def _quick(rule: Rule) -> str:
