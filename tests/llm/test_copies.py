@@ -3,6 +3,7 @@ import hashlib
 import random
 import zlib
 
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -203,6 +204,26 @@ def test_blocks_equal_brute_force(monkeypatch, seed):
     assert spans == plain_covered(docs)
 
 
+def test_merged_spans():
+    rnd = random.Random(4)
+    rows = [(i, [(a, a + rnd.randint(1, 9)) for a in (rnd.randint(0, 120) for _ in range(rnd.choice([0, 1, 3, 30])))]) for i in range(40)]
+    rows.append((99, [(2**31 - 200, 2**31 - 1), (0, 5)]))
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
+    lists = pa.array([[{"start": a, "stop": b} for a, b in spans] for _, spans in rows], kind)
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int64()), lists], ["doc_id", "spans"])
+    for part in (batch, batch.slice(3, 20), batch.slice(0, 0)):
+        got = [row for out in suffix_blocks._merged([part]) for row in out.to_pylist()]
+        assert [r["doc_id"] for r in got] == part.column(0).to_pylist()
+        for r, spans in zip(got, part.column(1).to_pylist()):
+            expected = []
+            for s in sorted((x["start"], x["stop"]) for x in spans):
+                if expected and s[0] <= expected[-1][1]:
+                    expected[-1][1] = max(expected[-1][1], s[1])
+                else:
+                    expected.append(list(s))
+            assert [[x["start"], x["stop"]] for x in r["spans"]] == expected
+
+
 def test_repeats_in_spark(spark):
     docs = {**passages(random.Random(99)), 1000: None, 1001: "", 1002: "a" * 5000, 1003: "a" * 99, 1004: "é" * 60, 1005: "x" + "é" * 60}
     rows = [(i, t, 1) for i, t in docs.items()]

@@ -398,23 +398,25 @@ def covered_spans(docs: DataFrame) -> DataFrame:
     whole = crowds.filter(F.col("kind") == COVERED).select(
         "doc_id", "start", (F.col("start") + F.col("n") + LENGTH - 1).alias("stop"))
     spans = found.unionByName(whole).groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    return materialize(spans.select("doc_id", _merged(F.col("spans")).alias("spans")), "spans")
+    return materialize(spans.mapInArrow(_merged, "doc_id long, spans array<struct<start:int,stop:int>>"), "spans")
 
 
-def _merged(spans) -> F.Column:
-    """Spans in order with those that overlap or touch made one."""
-    kind = "array<struct<start:int,stop:int>>"
-
-    def step(acc, s):
-        open_ = s["start"] <= acc["stop"]
-        done = F.when(open_ | (acc["stop"] < 0), acc["done"]).otherwise(
-            F.array_append(acc["done"], F.struct(acc["start"].alias("start"), acc["stop"].alias("stop"))))
-        return F.struct(F.when(open_, acc["start"]).otherwise(s["start"]).alias("start"),
-                        F.when(open_, F.greatest(acc["stop"], s["stop"])).otherwise(s["stop"]).alias("stop"), done.alias("done"))
-
-    begin = F.struct(F.lit(-1).alias("start"), F.lit(-1).alias("stop"), F.expr(f"CAST(array() AS {kind})").alias("done"))
-    return F.aggregate(F.array_sort(spans), begin, step, lambda acc: F.array_append(
-        acc["done"], F.struct(acc["start"].alias("start"), acc["stop"].alias("stop"))))
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans in order with those that overlap or touch made one; all documents of a batch in one sort."""
+    for batch in batches:
+        lists = batch.column(1)
+        doc = np.repeat(np.arange(len(lists), dtype=np.int64), lists.value_lengths().to_numpy(zero_copy_only=False))
+        # Places of different documents lie further apart than a text is long.
+        start, stop = ((doc << 32) + c.to_numpy(zero_copy_only=False) for c in lists.flatten().flatten())
+        order = np.argsort(start, kind="stable")
+        start, stop = start[order], np.maximum.accumulate(stop[order])
+        first, last = np.ones(len(start), bool), np.ones(len(start), bool)
+        first[1:] = last[:-1] = start[1:] > stop[:-1]
+        start, stop = start[first], stop[last]
+        ends = np.searchsorted(start >> 32, np.arange(len(lists) + 1)).astype(np.int32)
+        places = [pa.array((c & 0xFFFFFFFF).astype(np.int32)) for c in (start, stop)]
+        spans = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(places, ["start", "stop"]))
+        yield pa.RecordBatch.from_arrays([batch.column(0), spans], ["doc_id", "spans"])
 
 
 def _with_spans(docs: DataFrame) -> DataFrame:
