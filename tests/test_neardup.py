@@ -103,21 +103,54 @@ def test_clusters_equal_brute_force(docs_of, seed, options):
 
 
 def test_division_keeps_every_link(docs_of):
-    texts = corpus(5)[:60]
+    texts = corpus(5)[:60] + ["one", " one", "a b c d e", "a b c  d e", "a b c d"]
     docs = docs_of(texts)
-    members = docs.select(F.lit(7).cast("long").alias("bucket"), "doc_id")
-    parts = N._divide(members, docs, "doc_id", 0.8, 4, 10)
-    together = set()
-    by_bucket = {}
-    for r in parts.collect():
-        by_bucket.setdefault(r.bucket, set()).add(r.doc_id)
-    for ids in by_bucket.values():
-        together |= {(i, j) for i in ids for j in ids if i < j}
-    for i in range(len(texts)):
-        for j in range(i + 1, len(texts)):
-            a, b = grams(texts[i]), grams(texts[j])
-            if a and b and len(a & b) / len(a | b) >= 0.8:
-                assert (i, j) in together
+    members = N.undivided(docs.select(F.lit(7).cast("long").alias("bucket"), "doc_id"))
+    sets = N.shingle_sets(docs, "doc_id", 4)
+    once = N._divide(members, sets, "doc_id", 0.8, 10)
+    once = once.select(*members.columns).persist()
+    twice = N._divide(once.filter(N.divisible()), sets, "doc_id", 0.8, 1000).select(*members.columns)
+    twice = twice.unionByName(once.filter(~N.divisible()))
+    linked = {(i, j) for i in range(len(texts)) for j in range(i + 1, len(texts))
+              if grams(texts[i]) and len(grams(texts[i]) & grams(texts[j])) / len(grams(texts[i]) | grams(texts[j])) >= 0.8}
+    assert len(linked) > 50
+    for parts in (once, twice):
+        by_bucket = {}
+        for r in parts.collect():
+            by_bucket.setdefault(r.bucket, []).append((r.doc_id, r.side))
+        together = {(i, j) for ids in by_bucket.values() for i, a in ids for j, b in ids if i < j and (a == 0 or a != b)}
+        assert linked <= together
+
+
+@pytest.mark.parametrize("kind", ["linked", "look-alikes", "of many lengths"])
+def test_compared_pairs_grow_with_the_texts(docs_of, monkeypatch, kind):
+    rnd = random.Random(12)
+    page = lambda n: [f"p{rnd.randrange(10**7)}" for _ in range(n)]
+    frame, verified, compared = page(150), N._verified, []
+
+    def counted(pairs, *rest):
+        compared[-1] += pairs.count()
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(N, "_verified", counted)
+
+    def variant():
+        if kind == "linked":
+            at = rnd.randrange(150)
+            return frame[:at] + page(1) + frame[at:]
+        # Neighbours share 147 of 147 + 2 (m + 3) shingles: 0.77 for m = 19.
+        return frame[:75] + page(19 if kind == "look-alikes" else rnd.randrange(21, 40)) + frame[75:]
+
+    for size in (300, 1200):
+        compared.append(0)
+        texts = [" ".join(variant()) for _ in range(size)]
+        links = N.find_links(
+            docs_of(texts).select("doc_id", F.array(F.lit(5).cast("long")).alias("buckets")), docs_of(texts),
+            "text", "doc_id", 0.8, 4, 8, 1000)
+        found = connected_components(links)
+        assert found.count() == (size if kind == "linked" else 0)
+    # Eight hubs on average, drawn by chance.
+    assert 0 < compared[1] < 6 * compared[0] and compared[1] < 1200 * 24
 
 
 def test_scope_order_and_partitioning(docs_of):

@@ -15,9 +15,10 @@ Clusters are found without listing the pairs of a bucket:
    in one component is finished.  The others go on with new hubs, twice as many
    each time, until nobody is left, so every pair that could still join two
    components is compared in the end and the result is exact.
-4. Buckets that are still large after their first round are divided by rare
-   shingles: to reach the threshold two sets must share one of their rarest
-   shingles (prefix filtering), so only members that do stay together.
+4. Buckets that are still large after a round are divided, again and again as
+   long as that halves the pairs: two sets that reach the threshold share one of
+   their rarest shingles (prefix filtering), the fewer the closer their sizes are,
+   so only members of two length classes that share such a shingle stay together.
 """
 
 from __future__ import annotations
@@ -40,6 +41,7 @@ from textloom.session import materialize
 HUBS = 32
 EMPTY_HASH = 2**63 - 1
 ROWS_PER_TASK = 1_000_000
+CLASSES = 8    # length classes from a set to the smallest that can reach the threshold with it
 
 
 # --- shingles and signatures --------------------------------------------------
@@ -302,27 +304,89 @@ def representatives(signed: DataFrame, key: str, scope: list[str]) -> DataFrame:
         F.min(key).alias(key), F.count(F.lit(1)).alias("copies"))
 
 
-def _divide(members: DataFrame, texts: DataFrame, key: str, threshold: float, n: int,
-            rows_per_task: int) -> DataFrame:
-    """Divide buckets by the rarest shingles of their members.
+def shingle_sets(texts: DataFrame, key: str, n: int) -> DataFrame:
+    """``key, set``: the hashed shingles of each text."""
+    hashed = F.array_distinct(F.transform(word_ngrams(F.col("text"), n), lambda g: F.xxhash64(g)))
+    return texts.select(key, hashed.alias("set"))
 
-    Sorting every set by frequency in the bucket, two sets with similarity of at
-    least t share a shingle among the first |x| - ceil(t |x|) + 1 of each.  Members
-    that share none of these are never linked, so the new, smaller buckets, one
-    for a bucket and a shingle, contain every link of the old ones.
+
+def undivided(members: DataFrame) -> DataFrame:
+    """Members of buckets that were not divided yet: of no side, with any partner, no shingle used."""
+    return members.select(
+        "*", F.lit(0).alias("side"), F.lit(None).cast("double").alias("least"),
+        F.lit(None).cast("double").alias("need"), F.array().cast("array<long>").alias("used"))
+
+
+def divisible() -> Column:
+    """A bucket whose members may lack a further shingle in common stays whole; the same for all of them."""
+    return F.col("need").isNull() | (F.col("need") > F.size("used"))
+
+
+def _divide(members: DataFrame, sets: DataFrame, key: str, threshold: float, rows_per_task: int) -> DataFrame:
+    """``parent, bucket, key, side, least, need, used``: buckets divided by rare shingles and length classes.
+
+    Two sets that reach the threshold t have at least t / (1 + t) of the sum of
+    their sizes in common.  With the shingles in one order, the rarest in the
+    bucket first, they share one of the first |x| - common + 1 of each.  A new bucket
+    is for a shingle and two length classes, so that the size of a partner is known
+    from below (``least``) and no more shingles than needed are looked at.  Members
+    of one class are compared among themselves (``side`` 0), those of two classes
+    across (1 the smaller, 2 the larger).  ``used`` are the shingles that all members
+    of a bucket are known to share; dividing it again leaves them out, as in the
+    remaining sets the same number of shingles decides.  That holds while linked
+    members need more shingles in common (``need``, from the classes) than were used.
     """
-    shingles = texts.select(key, F.explode(word_ngrams(F.col("text"), n)).alias("s")).select(
-        key, F.xxhash64("s").alias("s"))
-    held = materialize(members.join(shingles, key).withColumn("at", F.struct("bucket", "s")), "held")
-    freq = held.groupBy("at").agg(F.count(F.lit(1)).alias("n"))
-    ranked = join_by_count(held.select("at", key), freq.withColumnRenamed("n", "f"), "at", freq, rows_per_task)
-    by_rarity = F.array_sort(F.collect_list(F.struct("f", F.col("at.s").alias("s"))))
-    sets = ranked.groupBy(F.col("at.bucket").alias("bucket"), key).agg(by_rarity.alias("shingles"))
-    size = F.size("shingles")
+    held = members.join(sets, key).withColumn("size", F.size("set"))
+    every = materialize(
+        held.select("bucket", key, F.explode(F.array_except("set", "used")).alias("s"))
+        .select(F.struct("bucket", "s").alias("at"), key), "held")
+    # A shingle of one member brings nobody together; only the number of these is needed.
+    freq = materialize(every.groupBy("at").agg(F.count(F.lit(1)).alias("f")).filter("f > 1"), "held-counts")
+    counts = freq.withColumnRenamed("f", "n")
+    shared = join_by_count(every, freq, "at", counts, rows_per_task).groupBy(F.col("at.bucket").alias("bucket"), key).agg(
+        F.array_sort(F.collect_list(F.struct("f", F.col("at.s").alias("s")))).alias("shared"))
+    rows = held.drop("set").join(shared, ["bucket", key])
+
+    size, step, share = F.col("size"), float(-np.log(threshold) / CLASSES), threshold / (1 + threshold)
+    own = F.floor(F.log(size) / step).cast("int")
+
+    def partner(d):
+        return F.struct(
+            F.when(d == 0, 0).when(d > 0, 1).otherwise(2).alias("side"), F.least(own, own + d).alias("low"),
+            F.greatest(own, own + d).alias("high"), F.greatest(F.exp((own + d) * step), size * threshold).alias("least"),
+            ((F.exp(own * step) + F.exp((own + d) * step)) * share - 1e-6).alias("need"))
+
+    # One class more on each side makes up for rounding.
+    classes = F.transform(F.sequence(F.lit(-CLASSES - 1), F.lit(CLASSES + 1)), partner)
+    known = F.array(F.struct("side", F.lit(-1).alias("low"), F.lit(-1).alias("high"), "least", "need"))
+    met = rows.withColumn("p", F.explode(F.when(F.col("least").isNull(), classes).otherwise(known)))
     # The small allowance keeps rounding from shortening the prefix.
-    prefix = size - F.ceil(size * threshold - 1e-6).cast("int") + 1
-    rare = F.explode(F.slice("shingles", F.lit(1), prefix)).alias("x")
-    return sets.select(key, "bucket", rare).select(F.xxhash64("bucket", "x.s").alias("bucket"), key)
+    common = F.ceil((size + F.col("p.least")) * share - 1e-6)
+    alone = size - F.size("used") - F.size("shared")
+    prefix = F.greatest(size - common + 1 - alone, F.lit(0)).cast("int")
+    return met.withColumn("x", F.explode(F.slice("shared", F.lit(1), prefix))).select(
+        F.col("bucket").alias("parent"), F.xxhash64("bucket", "x.s", "p.low", "p.high").alias("bucket"), key,
+        "p.side", "p.least", "p.need", F.array_append("used", F.col("x.s")).alias("used"))
+
+
+def _divided(large: DataFrame, sets: DataFrame, key: str, threshold: float, rows_per_task: int) -> DataFrame:
+    """The members of ``large(bucket, size, …)`` in smaller buckets, where that at least halves the pairs."""
+    parts = materialize(_divide(large.drop("size"), sets, key, threshold, rows_per_task), "parts")
+    on = lambda side: F.sum(F.when(F.col("side") == side, 1).otherwise(0))
+    pairs = F.expr("own * (own - 1) / 2 + small * big")
+    work = materialize(
+        parts.groupBy("parent", "bucket").agg(on(0).alias("own"), on(1).alias("small"), on(2).alias("big"))
+        .select("parent", "bucket", pairs.alias("pairs"), (F.col("own") + F.col("small") + F.col("big")).alias("n"))
+        .filter("pairs > 0"), "parts-work")
+    sums = work.groupBy("parent").agg(F.sum("pairs").alias("pairs"))
+    whole = large.select(F.col("bucket").alias("parent"), "size").distinct()
+    stuck = materialize(
+        sums.join(whole, "parent").filter("pairs * 4 > size * (size - 1)").select("parent"), "undivided")
+    useful = work.join(stuck, "parent", "left_anti").select("bucket", "n")
+    columns = ["bucket", key, "side", "least", "need", "used"]
+    split = join_by_count(parts.select(*columns), useful.select("bucket"), "bucket", useful, rows_per_task)
+    kept = large.join(stuck.withColumnRenamed("parent", "bucket"), "bucket", "left_semi")
+    return kept.select(*columns).unionByName(split.select(*columns))
 
 
 def find_links(reps: DataFrame, docs: DataFrame, text: str, key: str, threshold: float, n: int,
@@ -337,11 +401,11 @@ def find_links(reps: DataFrame, docs: DataFrame, text: str, key: str, threshold:
     sizes = materialize(sizes.filter("n > 1"), "buckets")
     members = join_by_count(reps.select(key, F.explode("buckets").alias("bucket")), sizes.select("bucket"),
                             "bucket", sizes, rows_per_task)
-    members = materialize(members.select("bucket", key), "members")
+    members = materialize(undivided(members.select("bucket", key)), "members")
     texts = materialize(
         pick(docs.select(key, F.col(text).alias("text")), members.select(key).distinct(), key), "member-texts")
 
-    links, labels, round_no, divided = None, None, 0, False
+    links, labels, sets, round_no, divided = None, None, None, 0, 0
     if settled is not None:
         labels = settled = materialize(settled.select(key, "label"), "settled")
         links = settled.filter(F.col(key) != F.col("label")).select(F.col("label").alias("i"), F.col(key).alias("j"))
@@ -354,17 +418,23 @@ def find_links(reps: DataFrame, docs: DataFrame, text: str, key: str, threshold:
                 members.join(labels, key, "left").withColumn("label", F.coalesce("label", key)), "labelled")
             active = materialize(
                 labelled.groupBy("bucket").agg(
-                    F.count(F.lit(1)).alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-                .filter("lo < hi").select("bucket", "n"), "active")
+                    F.count(F.lit(1)).alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"),
+                    F.min("side").alias("from"), F.max("side").alias("to"))
+                .filter((F.col("lo") < F.col("hi")) & ((F.col("from") == 0) | (F.col("from") < F.col("to"))))
+                .select("bucket", "n"), "active")
         largest = active.agg(F.max("n")).first()[0]
         if largest is None:
             return links
         sized = join_by_count(labelled, active.withColumnRenamed("n", "size"), "bucket", active, rows_per_task)
-        if largest > hubs and round_no > 0 and not divided:
-            small = sized.filter(F.col("size") <= hubs).select("bucket", key)
-            large = sized.filter(F.col("size") > hubs).select("bucket", key)
-            parts = _divide(large, texts, key, threshold, n, rows_per_task)
-            members, divided = materialize(small.unionByName(parts).distinct(), "divided"), True
+        if largest > hubs and round_no > divided:
+            is_large = (F.col("size") > hubs) & divisible()
+            small = sized.filter(~is_large)
+            large = materialize(sized.filter(is_large).select(*members.columns, "size"), "large")
+            if sets is None:
+                # Large buckets of later rounds are parts of these.
+                sets = materialize(shingle_sets(pick(texts, large.select(key).distinct(), key), key, n), "sets")
+            parts = _divided(large, sets, key, threshold, rows_per_task)
+            members, divided = materialize(small.select(*members.columns).unionByName(parts), "divided"), round_no
             continue
 
         # A member is a hub with probability hubs/size; in a small bucket everyone is.
@@ -378,9 +448,11 @@ def find_links(reps: DataFrame, docs: DataFrame, text: str, key: str, threshold:
                 "new", F.coalesce("new", F.lit(True)))
         drawn = materialize(dealt, "drawn")
         hub_rows = drawn.filter("is_hub").select(
-            "bucket", F.col(key).alias("hub"), F.col("label").alias("hub_label"), F.col("new").alias("hub_new"))
+            "bucket", F.col(key).alias("hub"), F.col("label").alias("hub_label"), F.col("new").alias("hub_new"),
+            F.col("side").alias("hub_side"))
         met = join_by_count(drawn, hub_rows, "bucket", active, rows_per_task).filter(
             (F.col("label") != F.col("hub_label")) & (F.col("new") | F.col("hub_new"))
+            & ((F.col("side") == 0) | (F.col("side") != F.col("hub_side")))
             & (~F.col("is_hub") | (F.col("hub") < F.col(key))))
         pairs = materialize(
             met.select(F.least("hub", key).alias("i"), F.greatest("hub", key).alias("j")).distinct(), "pairs")
@@ -388,7 +460,7 @@ def find_links(reps: DataFrame, docs: DataFrame, text: str, key: str, threshold:
         links = found if links is None else links.unionByName(found)
         if largest <= hubs:
             return links
-        members = drawn.filter(~F.col("is_hub")).select("bucket", key)
+        members = drawn.filter(~F.col("is_hub")).select(*members.columns)
         labels = materialize(
             connected_components(links, rows_per_task=rows_per_task)
             .select(F.col("node").alias(key), F.col("component").alias("label")), "labels")
