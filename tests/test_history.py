@@ -76,3 +76,18 @@ def test_scores_by_join_equal_scores_in_the_row(spark, docs_of):
     # No text is exploded twice, and empty documents form no key of the join.
     plan = odds._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate" not in plan
+
+
+def test_only_words_that_are_not_sent_are_joined(spark, docs_of, monkeypatch):
+    """Words beyond the weights that are sent are listed once a text; rows that repeat a key have their own scores."""
+    texts = ["the the a b", "the a a c", "the b rare", "the the rare new", "the", None]
+    docs = docs_of(texts).unionByName(spark.createDataFrame([(0, "a a a"), (None, "the b")], "doc_id long, text string"))
+    labels = spark.createDataFrame([(i, i % 2, i // 2 % 2) for i in range(4)], "doc_id long, quality int, toxic int")
+    model = safety.nb_fit(docs_of(texts), labels)
+    written, write = {}, safety.materialize
+    monkeypatch.setattr(safety, "materialize", lambda df, tag: written.setdefault(tag, write(df, tag)))
+    by_join = safety.nb_odds(docs, model, broadcast_rows=2)
+    same = lambda df: sorted((r.doc_id is None, r.doc_id or 0, round(r.odds_nsfw, 9), round(r.odds_toxic, 9)) for r in df.collect())
+    assert same(by_join) == same(safety.nb_odds(docs, model))
+    assert sorted(r.token for r in written["met-weights"].collect()) == ["b", "c", "new", "rare"]
+    assert "document-words" not in written
