@@ -355,3 +355,31 @@ def test_pages_are_neither_sorted_nor_grouped(spark):
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert not any("html" in line for line in plan.splitlines() if "Aggregate" in line or "Sort" in line)
     assert [r.html for r in got.collect()] == ["x"]
+
+
+@pytest.mark.parametrize("query", ["stream_collect", "stream_word_counts"])
+def test_parts_of_a_stream_are_several_files(spark, tmp_path, monkeypatch, query):
+    import __spark_entry__ as entry
+
+    rows = 400
+    spark.range(rows).select(F.col("id").alias("doc_id"), F.concat(F.lit("word "), "id").alias("text")).write.parquet(f"{tmp_path}/documents.parquet")
+    at, path = {}, entry.scratch_path
+    monkeypatch.setattr(entry, "scratch_path", lambda s, tag: at.setdefault(tag, path(s, tag)))
+    got = entry.queries()[query](spark, str(tmp_path))
+    assert query == "stream_collect" or got.agg(F.sum("n")).first()[0] >= rows
+    read = spark.read.parquet(at["stream-in"])
+    sizes = [r["count"] for r in read.groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == rows and max(sizes) < 0.3 * rows
+
+
+def test_parts_of_lines_are_several_files(spark):
+    import __spark_entry__ as entry
+
+    rows = 400
+    docs = spark.range(rows).select(F.col("id").alias("doc_id"), F.concat(F.lit("line "), "id").alias("text"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    path = entry._in_three_files(docs, "text", "doc_id")
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sizes = [r["count"] for r in lines.read_lines(spark, path).groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == rows and max(sizes) < 0.4 * rows
+    assert {r.doc_id: r.text for r in lines.number_lines(spark, path).collect()} == {i: f"line {i}" for i in range(rows)}
