@@ -1,6 +1,8 @@
 import random
+import tracemalloc
 from hashlib import md5
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -248,3 +250,16 @@ def test_all_links_equal_brute_force(docs_of, rows_per_task):
 def test_all_links_of_few_documents(docs_of):
     assert N.all_links(docs_of(["one two", "", " "])).collect() == [(1, 2, 1.0)]
     assert N.all_links(docs_of(["x"]).limit(0)).count() == 0
+
+
+def test_a_worker_holds_one_text_at_a_time(monkeypatch, spark):
+    made, real = [], F.arrow_udf
+    monkeypatch.setattr(F, "arrow_udf", lambda kind: lambda fn: made.append(fn) or real(kind)(fn))
+    N.minhash(F.col("text"))
+    texts = pa.array([f"{i} " + "word " * 4000 for i in range(1000)])
+    tracemalloc.start()
+    got = made[0](texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # The texts are 20 MB.
+    assert len(got) == 1000 and peak < 8 << 20
