@@ -1,7 +1,10 @@
 import random
 import time
+import tracemalloc
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 import regex
 from pyspark.sql import functions as F
@@ -238,3 +241,39 @@ def test_token_stats(docs_of):
     model = bpe.Tokenizer(docs_of([""]).sparkSession)
     row = bpe.token_stats(bpe.encode(docs_of(["aab", "é", ""]), model), model).first()
     assert (row.docs, row.tokens, row.bytes, row.bytes_per_token, row.used_ids) == (3, 5, 5, 1.0, 4)
+
+
+def test_many_words_merge_like_one_at_a_time():
+    rnd = random.Random(4)
+    for _ in range(100):
+        words = [[rnd.randrange(3) for _ in range(rnd.randrange(12))] for _ in range(rnd.randrange(20))]
+        times, steps, known = [rnd.randrange(1, 9) for _ in words], [], [0, 1, 2]
+        for joined in range(3, 3 + rnd.randrange(1, 8)):
+            steps.append(((rnd.choice(known), rnd.choice(known)), joined))
+            known.append(joined)
+        options, changes, since = {}, {}, rnd.randrange(len(steps) + 1)
+        for order, (pair, joined) in enumerate(steps):
+            options.setdefault(pair, []).append((order, joined))
+        want = [merging.merge_symbols(w, options, True, n, since, changes) for w, n in zip(words, times)]
+        flat = np.array([s for w in words for s in w], np.int32)
+        got, sizes, sums = merging.merge_words(flat, np.array([len(w) for w in words], int), steps, np.array(times, int), since)
+        assert got.tolist() == [s for w in want for s in w] and sizes.tolist() == [len(w) for w in want]
+        net = Counter()
+        for *key, d in zip(*(c.tolist() for c in sums)):
+            net[tuple(key)] += d
+        assert {k: d for k, d in net.items() if d} == {k: d for k, d in changes.items() if d}
+
+
+def test_a_worker_holds_the_words_of_few_rows(spark, monkeypatch):
+    made = []
+    real = F.arrow_udf
+    monkeypatch.setattr(F, "arrow_udf", lambda kind: lambda fn: made.append(fn) or real(kind)(fn))
+    bpe.count_ids(F.col("text"), bpe.Tokenizer(spark))
+    rows = pa.array([[f"w{i % 50}"] * 500 for i in range(3000)] + [None, []])
+    tracemalloc.start()
+    got = made[0](rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got[7].as_py() == list(b"w7") * 500 and got[-1].as_py() == got[-2].as_py() == []
+    # The words alone would be 1.5 million strings.
+    assert peak < 50 << 20

@@ -14,13 +14,14 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom import fixed
-from textloom.operators.merging import Forecast, Pair, Ranking, merge_symbols
+from textloom.operators.merging import Forecast, Pair, Ranking, merge_symbols, merge_words
 from textloom.session import materialize
 
 # Pairs and words that the driver holds in training, and symbols of such a word.
@@ -32,6 +33,8 @@ FIRST_BATCH, LARGEST_BATCH, PENDING_MERGES = 64, 1024, 256
 HELD_PAIRS = 300_000
 # Words whose ids a worker remembers.
 MEMO_WORDS = 500_000
+# Rows of a batch whose words a worker holds as objects.
+HELD_ROWS = 64
 
 
 @dataclass
@@ -153,35 +156,34 @@ def _binary_pairs(words: DataFrame, names: list[bytes]) -> DataFrame:
     return words.mapInArrow(run, "left binary, right binary, n long").groupBy("left", "right").agg(F.sum("n").alias("n"))
 
 
-def _merged_words(words: DataFrame, options: dict) -> DataFrame:
+def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Symbols one word after the other, lengths and counts of the words of ``symbols, n``."""
+    lists = batch.column(0)
+    return lists.flatten().to_numpy(zero_copy_only=False).copy(), np.diff(lists.offsets.to_numpy()), batch.column(1).to_numpy()
+
+
+def _merged_words(words: DataFrame, steps: list[tuple[Pair, int]]) -> DataFrame:
     """``symbols, n`` after the merges, each in its turn; a word of one symbol has no pairs left and goes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            merged = [(merge_symbols(s, options, True), n) for s, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
-            kept = [(s, n) for s, n in merged if len(s) > 1]
-            yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in kept], pa.list_(pa.int32())), pa.array([n for _, n in kept], pa.int64())],
-                                             ["symbols", "n"])
+            symbols, lengths, n = _flat(b)
+            merged, sizes, _ = merge_words(symbols, lengths, steps)
+            kept = sizes > 1
+            merged, sizes = merged[np.repeat(kept, sizes)], sizes[kept]
+            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()), pa.array(merged, pa.int32()))
+            yield pa.RecordBatch.from_arrays([lists, pa.array(n[kept], pa.int64())], ["symbols", "n"])
 
     return words.mapInArrow(run, "symbols array<int>, n long")
 
 
-def _pair_changes(words: DataFrame, options: dict, since: int) -> DataFrame:
+def _pair_changes(words: DataFrame, steps: list[tuple[Pair, int]], since: int) -> DataFrame:
     """``step, left, right, d``: how each merge from ``since`` on changes the count of each pair."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        changes: dict = {}
-
-        def passed() -> pa.RecordBatch:
-            rows = [k for k in changes]
-            parts = [pa.array([k[i] for k in rows], pa.int32()) for i in range(3)]
-            return pa.RecordBatch.from_arrays([*parts, pa.array(changes.values(), pa.int64())], ["step", "left", "right", "d"])
-
         for b in batches:
-            for s, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                merge_symbols(s, options, True, n, since, changes)
-            if len(changes) > HELD_PAIRS:
-                yield passed()
-                changes.clear()
-        yield passed()
+            symbols, lengths, n = _flat(b)
+            changes = merge_words(symbols, lengths, steps, n, since)[2]
+            kinds = [pa.int32()] * 3 + [pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(changes, kinds)], ["step", "left", "right", "d"])
 
     rows = words.mapInArrow(run, "step int, left int, right int, d long")
     return rows.groupBy("step", "left", "right").agg(F.sum("d").alias("d")).filter("d <> 0")
@@ -237,15 +239,9 @@ class _Training:
         self.live.add(self.joined(pair))
         self.pending.append((pair, self.joined(pair)))
 
-    def options(self, steps: list[tuple[Pair, int]]) -> dict:
-        out: dict = {}
-        for order, (pair, joined) in enumerate(steps):
-            out.setdefault(pair, []).append((order, joined))
-        return out
-
     def write(self) -> None:
         if self.pending:
-            self.words, self.pending = materialize(_merged_words(self.words, self.options(self.pending)), "words"), []
+            self.words, self.pending = materialize(_merged_words(self.words, self.pending), "words"), []
 
     def refresh(self) -> None:
         """List the leading pairs anew."""
@@ -305,7 +301,7 @@ class _Training:
                 again.add(k)
             known.add(joined)
         base = len(self.pending)
-        changes = _pair_changes(self.words, self.options(self.pending + tried), base)
+        changes = _pair_changes(self.words, self.pending + tried, base)
         spark = self.words.sparkSession
         # As many rows as pairs are listed on the driver.
         here = spark.createDataFrame(pd.DataFrame(list(self.exact.counts), columns=["left", "right"]), "left int, right int")
@@ -389,27 +385,36 @@ def _encode_words(model: Tokenizer):
     ids = {number[t]: i for i, t in model.tokens.items() if t in number}
     specials = dict(model.specials)
 
-    def encode(word: str) -> list[int]:
+    def encode(word: str) -> bytes:
         if word in specials:
-            return [specials[word]]
-        return [ids[s] for s in merge_symbols(list(word.encode()), options)]
+            found = [specials[word]]
+        else:
+            found = [ids[s] for s in merge_symbols(list(word.encode()), options)]
+        return np.array(found, np.int32).tobytes()
 
-    memo: dict[str, list[int]] = {}
+    memo: dict[str, bytes] = {}
 
-    def ids_of(words) -> list[int]:
-        out: list[int] = []
+    def ids_of(words) -> bytes:
+        out = []
         for w in () if words is None else words:
             found = memo.get(w)
             if found is None:
                 if len(memo) >= MEMO_WORDS:
                     memo.clear()
                 found = memo[w] = encode(w)
-            out += found
-        return out
-
-    @F.pandas_udf("array<int>")
-    def encode_words(rows: pd.Series) -> pd.Series:
-        return rows.map(ids_of)
+            out.append(found)
+        return b"".join(out)
+
+    @F.arrow_udf("array<int>")
+    def encode_words(rows: pa.Array) -> pa.Array:
+        # The words of some rows at a time are Python objects, not those of a whole batch.
+        coded, sizes = [], [0]
+        for at in range(0, len(rows), HELD_ROWS):
+            texts = [ids_of(words) for words in rows.slice(at, HELD_ROWS).to_pylist()]
+            coded.append(b"".join(texts))
+            sizes += [len(t) // 4 for t in texts]
+        flat = np.frombuffer(b"".join(coded), np.int32)
+        return pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), pa.array(flat, pa.int32()))
 
     return encode_words
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 from collections import Counter, defaultdict
 from heapq import heapify, heappop, heappush
 
+import numpy as np
+
 Pair = tuple[int, int]
 
 
@@ -70,6 +72,53 @@ def merge_symbols(symbols: list[int], options: dict[Pair, list[tuple[int, int]]]
     return heap
 
 
+def merge_words(symbols: np.ndarray, lengths: np.ndarray, steps: list[tuple[Pair, int]],
+                weights: np.ndarray | None = None, since: int = 0) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Many words after all steps, each in its turn and from the left, like ``merge_symbols`` with ``in_turn``.
+
+    ``symbols`` has the words one after the other, ``lengths`` their sizes.  With
+    ``weights``, the times of each word, the third result is ``step, left, right, d``:
+    how the number of pairs changes from step ``since`` on, in rows that may repeat.
+    """
+    owner = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
+    seen = np.zeros(max([int(symbols.max(initial=0)), *(max(*pair, joined) for pair, joined in steps)]) + 1, bool)
+    seen[symbols] = True
+    changes: list[tuple[np.ndarray, ...]] = []
+    for step, ((left, right), joined) in enumerate(steps):
+        if not (seen[left] and seen[right]):
+            continue
+        at = np.flatnonzero(symbols[:-1] == left)
+        at = at[(symbols[at + 1] == right) & (owner[at] == owner[at + 1])]
+        if left == right and len(at):
+            # In a run of the symbol every second pair is joined, from the left.
+            first = np.r_[True, np.diff(at) > 1]
+            run = np.flatnonzero(first)
+            at = at[(np.arange(len(at)) - run[np.cumsum(first) - 1]) % 2 == 0]
+        if not len(at):
+            continue
+        kept = np.ones(len(symbols), bool)
+        kept[at + 1] = False
+        if weights is not None and step >= since:
+            _count(changes, step, symbols, owner, np.unique(np.concatenate([at - 1, at, at + 1])), weights, -1)
+        symbols[at] = joined
+        symbols, owner, seen[joined] = symbols[kept], owner[kept], True
+        if weights is not None and step >= since:
+            now = at - np.arange(len(at))
+            _count(changes, step, symbols, owner, np.unique(np.concatenate([now - 1, now])), weights, 1)
+    sums = [np.concatenate(c) if c else np.empty(0, np.int64) for c in zip(*changes)] or [np.empty(0, np.int64)] * 4
+    return symbols, np.bincount(owner, minlength=len(lengths)), sums
+
+
+def _count(changes: list, step: int, symbols: np.ndarray, owner: np.ndarray, at: np.ndarray, weights: np.ndarray, sign: int) -> None:
+    """Add the pairs that begin at these places and lie within a word, each pair once."""
+    at = at[(at >= 0) & (at < len(symbols) - 1)]
+    at = at[owner[at] == owner[at + 1]]
+    pairs, place = np.unique(symbols[at].astype(np.int64) << 32 | symbols[at + 1], return_inverse=True)
+    sums = np.zeros(len(pairs), np.int64)
+    np.add.at(sums, place, weights[owner[at]])
+    changes.append((np.full(len(pairs), step), pairs >> 32, pairs & (1 << 32) - 1, sign * sums))
+
+
 class Ranking:
     """Pairs by count, then by the bytes of both symbols, highest first."""
 
