@@ -269,6 +269,28 @@ def test_ml_classifier_is_reproducible(tables):
     assert len(first) == 200 and scores(docs.repartition(3)) == first
 
 
+@pytest.mark.parametrize("query", ["ml_nsfw_score", "ml_toxic_score", "ml_score_domain"])
+def test_ml_queries_normalise_a_text_once(spark, monkeypatch, query):
+    import __spark_entry__ as entry
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        seen.add(1)
+        return text
+
+    rows = [(i, "kind words here" if i % 3 else "vile words there") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("text", counted("text"))
+    flags = spark.createDataFrame([(i, int(i % 3 > 0), int(i % 3 == 0)) for i in range(40)], "doc_id long, quality int, toxic int")
+    monkeypatch.setattr(entry, "_normal", lambda spark, sf: docs)
+    monkeypatch.setattr(entry, "labels", lambda spark, sf: flags)
+    out = entry.queries()[query](spark, "").collect()
+    assert len(out) == 60 and seen.value == 60
+    if query != "ml_score_domain":
+        name = query[3:-6]
+        assert [r[f"{name}_label"] for r in sorted(out)] == [f"non-{name}" if i % 3 else name for i in range(60)]
+
+
 # --- pipelines ----------------------------------------------------------------------
 
 def test_collect(spark, tables, model):

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, NGram, RegexTokenizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -202,19 +202,23 @@ def train_text_classifier(docs: DataFrame, labels: DataFrame, target: str, condi
     """Unigrams and bigrams, hashed, into a regularised logistic regression.
 
     Rows are dealt out by a hash of the key and go in key order within it, so
-    that sums run over the same rows in the same order every time.
+    that sums run over the same rows in the same order every time.  The fit asks
+    for its rows several times; their features are written once before.
     """
     flagged = docs.select(key, text).join(
         labels.select(key, F.expr(condition or TARGETS[target]).cast("double").alias("label")), key)
     parts = max(1, labels.count() // 10_000)
-    flagged = flagged.repartition(parts, key).sortWithinPartitions(key)
     split = RegexTokenizer(inputCol=text, outputCol="words", pattern=r"\s+", toLowercase=False)
     pairs = NGram(n=2, inputCol="words", outputCol="pairs")
     hash_words = HashingTF(inputCol="words", outputCol="word_features", numFeatures=features)
     hash_pairs = HashingTF(inputCol="pairs", outputCol="pair_features", numFeatures=features)
     both = VectorAssembler(inputCols=["word_features", "pair_features"], outputCol="features")
+    hashed = PipelineModel([split, pairs, hash_words, hash_pairs, both])
+    # The number of features is all that is passed on of their names.
+    width = {"ml_attr": {"num_attrs": 2 * features}}
+    rows = materialize(hashed.transform(flagged).select(key, "label", F.col("features").alias("features", metadata=width)), "features")
     fit = LogisticRegression(regParam=0.01, maxIter=20)
-    return Pipeline(stages=[split, pairs, hash_words, hash_pairs, both, fit]).fit(flagged)
+    return PipelineModel([*hashed.stages, fit.fit(rows.repartition(parts, key).sortWithinPartitions(key))])
 
 
 def classify(docs: DataFrame, model: PipelineModel, target: str) -> DataFrame:
