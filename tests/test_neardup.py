@@ -57,6 +57,18 @@ def test_shingles_and_signature(column_of):
     assert [expected[0][i] for i in (0, 1, 127)] == [2663766899, 2759887216, 3303737401]
 
 
+def test_pairs_are_compared_without_arrays_of_shingles(spark):
+    texts = [None, "", " \n", "a", "a b c", "a b c d", "a  b\tc d e", "a b c d e f a b c d e f", "é ü ñ ö ä 你好 x"]
+    both = spark.createDataFrame([(a, b) for a in texts for b in texts], "a string, b string")
+    sets = [N.word_ngrams(F.col(c)) for c in "ab"]
+    for r in both.select(N.jaccard(*sets).alias("x"), N.text_jaccard(F.col("a"), F.col("b")).alias("y")).collect():
+        assert r.x == r.y
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = N.verify_pairs(spark.createDataFrame([(4, 5), (5, 6), (1, 2)], "i long, j long"), docs, 0.0)
+    assert "array_intersect" not in found._jdf.queryExecution().toString()
+    assert sorted(map(tuple, found.collect())) == [(1, 2, 1.0), (4, 5, 0.0), (5, 6, 0.5)]
+
+
 def test_jaccard_edges(spark):
     rows = [(["a", "b", "c", "d"], ["a", "b", "c", "d", "e"]), ([], []), ([], ["a"])]
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "k int, a array<string>, b array<string>")

@@ -24,6 +24,7 @@ Clusters are found without listing the pairs of a bucket:
 from __future__ import annotations
 
 import random
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -60,6 +61,23 @@ def word_ngrams(c: Column, n: int = fixed.NGRAM) -> Column:
     return F.transform(F.array(words), grams)[0]
 
 
+def _cutter(n: int) -> Callable[[str | None], set[bytes]]:
+    """Function for ``word_ngrams`` of a text whose white space is collapsed: its parts from one blank to the n-th after it.
+
+    It is made here, so that workers get it with the kernel that uses it.
+    """
+    def cut(text):
+        if not text:
+            return set()
+        line = text.encode()
+        blanks = np.flatnonzero(np.frombuffer(line, np.uint8) == 32).tolist()
+        if len(blanks) < n:
+            return {line}
+        return {line[at:to] for at, to in zip([0, *[b + 1 for b in blanks]], [*blanks, len(line)][n - 1:])}
+
+    return cut
+
+
 def shingle_hash(shingle: Column) -> Column:
     """The first 32 bits of MD5 as a number."""
     return F.conv(F.substring(F.md5(shingle.cast("binary")), 1, 8), 16, 10).cast("long")
@@ -78,34 +96,35 @@ def minhash(c: Column, k: int = fixed.NUM_HASHES, n: int = fixed.NGRAM, seed: in
 
     Only the text travels to Python, and only the signature comes back.
     """
+    return _signatures(collapse_space(c), k, n, seed)
+
+
+def _signatures(words: Column, k: int, n: int, seed: int = fixed.HASH_SEED) -> Column:
+    """``minhash`` of texts whose white space is collapsed."""
     factors, offsets = (np.array(v, dtype=np.uint64) for v in hash_family(k, seed))
-    prime, low_half, half = np.uint64(fixed.HASH_PRIME), np.uint64(2**32 - 1), np.uint64(32)
-    over = np.uint64(fixed.HASH_PRIME - 2**32)
-    block = 256
+    prime, half, block = np.uint64(fixed.HASH_PRIME), np.uint64(32), 256
+    signed, cut = np.int64(fixed.HASH_PRIME), _cutter(n)
 
     def lowest(x, v, h):
         """Smallest (a x + b) mod p of each hash function for a block of x.
 
         Factors and x are below 2**32, so the sum fits in 64 bits.  With p slightly
-        above 2**32, hi * 2**32 + lo is lo - over * hi modulo p, taken twice.
+        above 2**32, taking p off once for each 2**32 leaves little more or less than
+        2**32, and doing so again, with a sign, from 0 to slightly more than p.
         """
         np.multiply(x[:, None], factors, out=v)
         np.add(v, offsets, out=v)
-        np.right_shift(v, half, out=h)
-        np.bitwise_and(v, low_half, out=v)
-        np.add(v, prime * np.uint64(over + 1), out=v)
-        np.subtract(v, np.multiply(h, over, out=h), out=v)
-        np.right_shift(v, half, out=h)
-        np.bitwise_and(v, low_half, out=v)
-        np.subtract(v, np.multiply(h, over, out=h), out=v)
-        # A negative value has wrapped to a huge one; adding p brings it back.
-        return np.minimum(v, np.add(v, prime, out=h), out=v).min(axis=0).astype(np.int64)
+        np.multiply(np.right_shift(v, half, out=h), prime, out=h)
+        rest, times = np.subtract(v, h, out=v).view(np.int64), h.view(np.int64)
+        np.multiply(np.right_shift(rest, 32, out=times), signed, out=times)
+        np.subtract(rest, times, out=rest)
+        if rest.max() >= signed:
+            np.subtract(rest, signed, out=rest, where=rest >= signed)
+        return rest.min(axis=0)
 
     def signature(text, v, h):
-        words = text.split(" ") if text else []
-        grams = {" ".join(words[i:i + n]) for i in range(max(len(words) - n + 1, 1))} if words else ()
         low = np.full(k, EMPTY_HASH, dtype=np.int64)
-        x = np.frombuffer(b"".join([md5(g.encode()).digest()[:4] for g in grams]), dtype=">u4").astype(np.uint64)
+        x = np.frombuffer(b"".join([md5(g).digest() for g in cut(text)]), dtype=">u4")[::4].astype(np.uint64)
         for at in range(0, len(x), block):
             part = x[at:at + block]
             low = np.minimum(low, lowest(part, v[:len(part)], h[:len(part)]))
@@ -122,7 +141,7 @@ def minhash(c: Column, k: int = fixed.NUM_HASHES, n: int = fixed.NGRAM, seed: in
         starts = np.arange(len(texts) + 1, dtype=np.int32) * k
         return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(out.ravel()))
 
-    return signatures(collapse_space(c))
+    return signatures(words)
 
 
 def minhash_native(c: Column, k: int = fixed.NUM_HASHES, n: int = fixed.NGRAM,
@@ -190,6 +209,29 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.transform(F.array(F.size(F.array_intersect(a, b))), share)[0]
 
 
+def text_jaccard(a: Column, b: Column, n: int = fixed.NGRAM) -> Column:
+    """``jaccard`` of the ``word_ngrams`` of two texts, as an Arrow kernel.
+
+    A text is cut where it is, without an array of its shingles for each pair.
+    Without a text there is one shingle, which is null, as in ``word_ngrams``.
+    """
+    cut = _cutter(n)
+
+    @F.arrow_udf("double")
+    def similarity(left: pa.Array, right: pa.Array) -> pa.Array:
+        # One pair at a time is Python objects, not those of a whole batch.
+        out = np.empty(len(left))
+        for at, pair in enumerate(zip(left, right)):
+            x, y = ({None} if t is None else cut(t) for t in (v.as_py() for v in pair))
+            common = len(x & y)
+            total = len(x) + len(y) - common
+            out[at] = common / total if total else 1.0
+        pa.default_memory_pool().release_unused()
+        return pa.array(out)
+
+    return similarity(collapse_space(a), collapse_space(b))
+
+
 def verify_pairs(pairs: DataFrame, docs: DataFrame, threshold: float = fixed.JACCARD,
                  text: str = "text", key: str = "doc_id", n: int = fixed.NGRAM,
                  rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
@@ -210,8 +252,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, key: str, threshold: float, n:
         side = texts.select(F.col(key).alias(end), F.col("text").alias(f"text_{end}"))
         degree = pairs.groupBy(end).agg(F.count(F.lit(1)).alias("n"))
         joined = join_by_count(joined, side, end, degree, rows_per_task)
-    sets = joined.select("i", "j", word_ngrams(F.col("text_i"), n).alias("a"), word_ngrams(F.col("text_j"), n).alias("b"))
-    scored = sets.select("i", "j", jaccard(F.col("a"), F.col("b")).alias("similarity"))
+    scored = joined.select("i", "j", text_jaccard(F.col("text_i"), F.col("text_j"), n).alias("similarity"))
     return keep(scored, F.col("similarity") >= threshold)
 
 
@@ -298,7 +339,7 @@ def sign(docs: DataFrame, text: str, key: str, scope: list[str], n: int, k: int,
     parts = band_slices(F.col("__sig"), bands, k)
     return (
         scoped.select(key, *scope, F.sha2("__words", 256).alias("print"),
-                      minhash(F.col("__words"), k, n).alias("__sig"))
+                      _signatures(F.col("__words"), k, n).alias("__sig"))
         .select(key, *scope, "print",
                 F.transform(parts, lambda p, i: F.xxhash64(*scope, i, p)).alias("buckets"))
     )
