@@ -8,9 +8,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from textloom.functions import charsets, html, html_scan, pii
+from textloom.functions import charsets, html, html_scan, pii, points
 from textloom.functions import text as T
 from textloom.operators import quality
+from textloom.plans import clean as clean_plan
 
 
 def plain_normalize(s):
@@ -211,3 +212,26 @@ def test_long_repetitions_do_not_overflow(column_of):
     dotted = "x@" + "a." * 50_000 + "com"
     assert column_of([dotted], pii.mask(F.col("text"), "email")) == ["|||EMAIL_ADDRESS|||"]
     assert column_of(["a-" * 50_000 + "a"], F.size(quality.word_tokens(F.col("text")))) == [1]
+
+
+def test_table_of_points_equals_the_expressions(spark, docs_of):
+    rnd = random.Random(11)
+    pool = list("aB1_.,-'’ \n\r\t") + ["...", "..", "é", "Σ", "ς", "한", "中", "\xa0", "\x1c", "İ", "😀", "ß", "²", "٣", "𝓐", "́", "Å", "ꟋꟜ"]
+    texts = ["".join(rnd.choice(pool) for _ in range(rnd.randint(0, 30))) for _ in range(3000)] + ["", None, "ΟΔΟΣ ab"]
+    every = [chr(p) for p in range(0x30000) if not 0xD800 <= p <= 0xDFFF]
+    texts += ["".join(every[at:at + 512]) for at in range(0, len(every), 512)]
+    t, words = F.col("text"), quality.word_tokens(F.col("text"))
+    n, joined = F.size(words).cast("long"), F.array_join(words, " ")
+    asked = docs_of(texts).withColumns({
+        "w_text": T.normalize_text(t), "w_n": n, "w_len": (F.length(joined) - (n - 1)) / F.nullif(n, F.lit(0)),
+        "w_dots": F.regexp_count(t, F.lit(r"\.\.\.(?=\n|\z)")) / (F.length(t) - F.length(F.replace(t, F.lit("\n"), F.lit(""))) + 1),
+        "w_alpha": F.regexp_count(joined, F.lit(r"\p{L}[^ ]*")) / F.nullif(n, F.lit(0))})
+    got = quality.quality_metrics(asked.withColumn("normal", points.normalize_by_table(t)))
+    for r in got.collect():
+        assert (r.normal, r.n_words, r.mean_word_len, r.ellipsis_ratio, r.alpha_ratio) == (r.w_text, r.w_n, r.w_len, r.w_dots, r.w_alpha), r.text
+
+
+def test_cleaning_counts_and_normalises_by_table(docs_of):
+    plan = quality.keep_quality(docs_of(["x"]))._jdf.queryExecution().executedPlan().toString()
+    assert "regexp" not in plan and plan.count("ArrowEvalPython") == 1
+    assert "ArrowEvalPython" in clean_plan.normalized(docs_of(["x"]))._jdf.queryExecution().executedPlan().toString()
