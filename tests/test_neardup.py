@@ -2,6 +2,7 @@ import random
 import tracemalloc
 from hashlib import md5
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -275,3 +276,12 @@ def test_a_worker_holds_one_text_at_a_time(monkeypatch, spark):
     tracemalloc.stop()
     # The texts are 20 MB.
     assert len(got) == 1000 and peak < 8 << 20
+
+
+def test_shingles_hashed_side_by_side():
+    rnd = random.Random(3)
+    pieces = [bytes(rnd.randrange(256) for _ in range(size)) for size in [*range(70), 119, 200]]
+    ends = np.cumsum([len(p) for p in pieces])
+    data = np.frombuffer(b"".join(pieces) + bytes(64), np.uint8)
+    got = N._first_bits()(data, ends - [len(p) for p in pieces], ends)
+    assert got.tolist() == [int(md5(p).hexdigest()[:8], 16) for p in pieces]
