@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from textloom.operators import safety
 from textloom.operators.neardup import NearDuplicates
-from textloom.streaming.history import History
+from textloom.streaming.history import TEXTS, History
 
 
 def chained_texts(rnd, families=6, length=60):
@@ -91,3 +91,10 @@ def test_only_words_that_are_not_sent_are_joined(spark, docs_of, monkeypatch):
     assert same(by_join) == same(safety.nb_odds(docs, model))
     assert sorted(r.token for r in written["met-weights"].collect()) == ["b", "c", "new", "rare"]
     assert "document-words" not in written
+
+
+def test_nothing_is_read_before_the_first_batch(spark, docs_of, tmp_path):
+    old = History(spark, str(tmp_path))._before("texts", TEXTS, 0)
+    assert old.dtypes == [("node", "bigint"), ("print", "string"), ("buckets", "array<bigint>"), ("text", "string")]
+    new = docs_of(["a"]).withColumnRenamed("doc_id", "node").join(old.select("node"), "node", "left_anti")
+    assert "Join" not in new._jdf.queryExecution().optimizedPlan().toString() and new.count() == 1
