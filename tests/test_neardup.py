@@ -285,3 +285,22 @@ def test_shingles_hashed_side_by_side():
     data = np.frombuffer(b"".join(pieces) + bytes(64), np.uint8)
     got = N._first_bits()(data, ends - [len(p) for p in pieces], ends)
     assert got.tolist() == [int(md5(p).hexdigest()[:8], 16) for p in pieces]
+
+
+def test_least_values_that_lie_close_are_exact(monkeypatch, spark):
+    p, grams4 = fixed.HASH_PRIME, ["a b c d", "b c d e", "c d e f"]
+    x = [int(md5(g.encode()).hexdigest()[:8], 16) for g in grams4]
+    families = [(a, (low - a * x[0]) % p) for a in (1, 77, 2**32 - 1) for low in (0, 1, 3, 9, p - 1, p - 2, p - 3, p - 9)]
+    for low in (0, 5, 10**6, 2**31):
+        for gap in (1, 2, 3, 5, p - 1, p - 2):
+            # The second shingle's value is the first one's and the gap.
+            a = gap * pow(x[1] - x[0], -1, p) % p
+            families.append((a, (low - a * x[0]) % p))
+    families += [(1, 0)] * (128 - len(families))
+    monkeypatch.setattr(N, "hash_family", lambda k, seed: tuple(zip(*families)))
+    made, real = [], F.arrow_udf
+    monkeypatch.setattr(F, "arrow_udf", lambda kind: lambda fn: made.append(fn) or real(kind)(fn))
+    N.minhash(F.col("text"))
+    got = made[0](pa.array(["a b c d", "a b c d e", "a b c d e f"])).to_pylist()
+    for row, some in zip(got, (x[:1], x[:2], x)):
+        assert row == [min((a * v + b) % p for v in some) for a, b in families]
